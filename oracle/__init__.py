@@ -1,0 +1,5 @@
+"""The expected result of every named query, as SQL for DuckDB over the test tables."""
+
+from .sql import ORACLES
+
+__all__ = ["ORACLES"]
