@@ -63,6 +63,6 @@ def cohort_retention(orders: DataFrame, status: str | None = "Delivered") -> Dat
 
 
 def first_cohort(retention: DataFrame) -> DataFrame:
-    """The retention curve of the earliest cohort."""
-    earliest = retention.agg(F.min("cohort_month")).scalar()
-    return retention.filter(F.col("cohort_month") == earliest)
+    """The retention curve of the earliest cohort. Input is one row per pair of months."""
+    earliest = F.min("cohort_month").over(Window.partitionBy())
+    return retention.withColumn("_earliest", earliest).filter("cohort_month = _earliest").drop("_earliest")

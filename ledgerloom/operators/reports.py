@@ -116,6 +116,12 @@ def growth_by(monthly: DataFrame, dimension: str) -> DataFrame:
     return grown.filter(F.col("prev_revenue").isNotNull())
 
 
+def drop_months_of(monthly_by_dimension: DataFrame, threshold: float = -10) -> DataFrame:
+    """Drop months from a (month, region) frame, whose exchange the drill-through can reuse."""
+    monthly = monthly_by_dimension.groupBy("month_start").agg(F.sum("revenue").alias("revenue"))
+    return drops(with_growth(monthly, "revenue", digits=2), threshold)
+
+
 def drill_through(monthly_by_dimension: DataFrame, months: DataFrame) -> DataFrame:
     """Region or category rows of the selected months."""
     return monthly_by_dimension.join(months.select("month_start"), "month_start", "left_semi")
@@ -128,7 +134,7 @@ def seasonality(sales: DataFrame, orders: DataFrame) -> DataFrame:
         .groupBy(F.month("month_start").alias("month_num"))
         .agg(ratio(F.sum("revenue"), F.count("*")).alias("_mean"))
     )
-    shared = with_share(means, "_mean", "seasonal_share_pct", digits=2)
+    shared = with_share(means, "_mean", "seasonal_share_pct", digits=2, few_rows=True)
     return shared.select("month_num", F.round("_mean", 2).alias("avg_revenue"), "seasonal_share_pct")
 
 
@@ -207,7 +213,7 @@ def _region_totals_starter(sales: DataFrame, orders: DataFrame, products: DataFr
 def contribution(items: DataFrame, by: str = "category") -> DataFrame:
     """Revenue, share of all revenue and margin per category (or other item column)."""
     totals = _line_totals(items.filter(F.col(by).isNotNull()), [by])
-    return with_share(totals, "revenue", "revenue_share_pct").withColumn(
+    return with_share(totals, "revenue", "revenue_share_pct", few_rows=True).withColumn(
         "profit_margin_pct", percent("profit", "revenue")
     )
 
@@ -333,15 +339,26 @@ def segment_summary(customers: DataFrame) -> DataFrame:
 # -- key figures ----------------------------------------------------------------------------
 
 
-def kpis(orders: DataFrame, sales: DataFrame, customers: DataFrame, status: str | None = "Delivered") -> DataFrame:
-    """One row: delivered revenue, profit, margin, orders and order value; customers; regions."""
-    totals = by_status(orders, status).agg(
-        sum_or_zero("order_revenue").alias("revenue"),
-        sum_or_zero("order_profit").alias("profit"),
-        F.count_distinct("order_id").alias("total_orders"),
+def kpis(orders: DataFrame, customers: DataFrame, status: str | None = "Delivered") -> DataFrame:
+    """One row: delivered revenue, profit, margin, orders and order value; customers; active regions.
+
+    Regions are active when some order of any status has items there. Sums per region come first,
+    so one pass over the orders gives the totals and the regions.
+    """
+    counted = F.lit(True) if status is None else F.col("order_status") == F.lit(status)
+    per_region = orders.groupBy("region").agg(
+        F.sum(F.when(counted, F.col("order_revenue"))).alias("revenue"),
+        F.sum(F.when(counted, F.col("order_profit"))).alias("profit"),
+        F.count(F.when(counted, F.col("order_id"))).alias("orders"),
+        F.count("order_items_count").alias("sold"),
+    )
+    totals = per_region.agg(
+        sum_or_zero("revenue").alias("revenue"),
+        sum_or_zero("profit").alias("profit"),
+        sum_or_zero("orders").alias("total_orders"),
+        F.count_if(F.col("region").isNotNull() & (F.col("sold") > 0)).alias("active_regions"),
     )
-    buyers = customers.agg(F.count_distinct("customer_id")).scalar()
-    regions = sales.agg(F.count_distinct("region")).scalar()
+    all_customers = customers.agg(F.count_distinct("customer_id")).scalar()
 
     def two(c: Column) -> Column:
         return F.bround(or_zero(c.cast("double")), 2)
@@ -351,9 +368,9 @@ def kpis(orders: DataFrame, sales: DataFrame, customers: DataFrame, status: str
         two(F.col("profit")).alias("total_profit"),
         two(percent("profit", "revenue")).alias("profit_margin_pct"),
         "total_orders",
-        buyers.alias("total_customers"),
+        all_customers.alias("total_customers"),
         two(ratio("revenue", "total_orders")).alias("avg_order_value"),
-        regions.alias("active_regions"),
+        "active_regions",
     )
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import dates
-from ..functions.numbers import growth_percent, or_zero, percent, rounded
+from ..functions.numbers import growth_percent, percent, rounded
+from ..session import shared_dir
 
 
 def date_bounds(df: DataFrame, date: str = "order_date") -> DataFrame:
@@ -18,15 +19,24 @@ def date_bounds(df: DataFrame, date: str = "order_date") -> DataFrame:
 def resample_months(
     df: DataFrame, date: str, measures: dict[str, Column], by: Sequence[str] = (), month: str = "month_start"
 ) -> DataFrame:
-    """Measures per month from the first to the last month (of each ``by`` group); 0 in empty months."""
+    """Measures per month from the first to the last month (of each ``by`` group); 0 in empty months.
+
+    Each month with rows also stands in for the empty months up to the next one, so neither a
+    calendar join nor a second pass for its bounds is needed.
+    """
     dated = df.filter(F.col(date).isNotNull())
-    monthly = dated.groupBy(*by, dates.month_start(date).alias(month)).agg(
+    monthly = dated.groupBy(*by, dates.month_start(date).alias("_from")).agg(
         *[c.alias(name) for name, c in measures.items()]
     )
-    span = dates.month_range(F.min(month), F.max(month))
-    calendar = monthly.groupBy(*by).agg(span.alias("_months")).select(*by, F.explode("_months").alias(month))
-    filled = calendar.join(monthly, [*by, month], "left")
-    return filled.withColumns({name: or_zero(name) for name in measures})
+    next_month = F.lead("_from").over(Window.partitionBy(*by).orderBy("_from"))
+    until = F.coalesce(F.add_months(next_month, -1), F.col("_from"))
+    filled = monthly.withColumn("_until", until).withColumn(
+        month, F.explode(dates.month_range(F.col("_from"), F.col("_until")))
+    )
+    values = [
+        F.coalesce(F.when(F.col(month) == F.col("_from"), F.col(name)), F.lit(0)).alias(name) for name in measures
+    ]
+    return filled.select(*by, month, *values)
 
 
 def with_growth(
@@ -70,13 +80,21 @@ def flag_below(df: DataFrame, limit: float, growth: str = "mom_growth_pct", out:
     return df.withColumn(out, F.coalesce(F.col(growth) < F.lit(limit), F.lit(False)))
 
 
-def with_share(df: DataFrame, value: str, out: str = "share_pct", digits: int | None = None) -> DataFrame:
+def with_share(
+    df: DataFrame, value: str, out: str = "share_pct", digits: int | None = None, few_rows: bool = False
+) -> DataFrame:
     """Each row's part of the total of ``value`` in percent.
 
-    The total is a scalar subquery over partial sums: unlike ``sum() over ()`` it does not
-    bring all rows to one task, and the aggregate it reads is reused, not computed again.
+    A window over all rows would bring them to one task, so it is used only for ``few_rows``
+    (months, categories, regions). Otherwise the rows are checkpointed and the total is a scalar
+    subquery over them: the data behind ``df`` is read once and the total comes from partial sums.
     """
-    total = df.agg(F.sum(value)).scalar()
+    if few_rows:
+        total = F.sum(value).over(Window.partitionBy())
+    else:
+        shared_dir(df.sparkSession)
+        df = df.checkpoint()
+        total = df.agg(F.sum(value)).scalar()
     return df.withColumn(out, rounded(percent(F.col(value), total), digits))
 
 

@@ -14,6 +14,7 @@ from ..operators import clean, cohorts, forecast, insights, model, quality, rank
 from ..session import scratch_path
 from ..sources import files, jdbc, sinks
 from ..sources.testdata import CANCELLED, CATEGORIES, DELIVERED, REFERENCE_DATE, REGIONS, RETURNED, TestModel
+from . import batch
 
 Job = Callable[[TestModel], DataFrame]
 JOBS: dict[str, Job] = {}
@@ -132,8 +133,7 @@ def _(m):
 @job("sink_processed")
 def _(m):
     folder = scratch_path(m.spark, "star")
-    paths = sinks.write_tables(model.build_star(clean.clean_tables(m.raw)), folder)
-    return quality.row_counts({name: m.spark.read.parquet(path) for name, path in paths.items()})
+    return quality.row_counts(batch.process(m.raw, folder))
 
 
 @job("sink_row_counts")
@@ -456,8 +456,8 @@ def _(m):
 
 @job("drop_month_drillthrough")
 def _(m):
-    months = reports.sales_drop_months(m.sales, m.order_facts)
-    return reports.drill_through(reports.monthly_by_region(m.sales, m.orders), months)
+    monthly = reports.monthly_by_region(m.sales, m.orders)
+    return reports.drill_through(monthly, reports.drop_months_of(monthly))
 
 
 @job("drop_month_drillthrough_category")
@@ -561,7 +561,7 @@ def _(m):
 
 @job("kpis")
 def _(m):
-    return reports.kpis(m.order_facts_enriched, m.fct_sales, m.customers, DELIVERED)
+    return reports.kpis(m.fct_orders, m.customers, DELIVERED)
 
 
 @job("kpis_starter")

@@ -86,7 +86,8 @@ class TestModel:
         """Lines with a unit price in whole cents, so that quantity x price is exact."""
         quantity = F.col("l_quantity").cast("int")
         cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-        price = (F.floor(cents / quantity).cast("decimal(14,0)") / 100).cast("decimal(12,2)")
+        cent = F.lit("0.01").cast("decimal(2,2)")
+        price = (F.floor(cents / quantity).cast("decimal(12,0)") * cent).cast("decimal(12,2)")
         return self.table("lineitem").select(
             F.col("l_orderkey").alias("order_id"),
             F.col("l_linenumber").alias("line_no"),
