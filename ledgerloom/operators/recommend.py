@@ -6,7 +6,7 @@ added up as whole multiples of 1e-12: results do not depend on the order in whic
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .clean import by_status
@@ -78,16 +78,20 @@ def item_similarity(matrix: DataFrame) -> DataFrame:
     return pairs.select(F.inline(both), cosine.alias("similarity"))
 
 
+def points(similarity: Column) -> Column:
+    """Similarity as a whole number; equal cosines stay equal whatever the last bits say."""
+    return F.round(similarity * SCALE).cast("bigint")
+
+
 def nearest_items(similarity: DataFrame, neighbours: int = 19) -> DataFrame:
-    order = [F.desc("similarity"), F.asc("neighbour_id")]
+    order = [F.desc(points(F.col("similarity"))), F.asc("neighbour_id")]
     return top_n_per(similarity, ["product_id"], order, neighbours)
 
 
 def candidate_scores(matrix: DataFrame, nearest: DataFrame) -> DataFrame:
     """Summed similarity of every neighbour of a customer's products, owned products included."""
-    points = F.round(F.col("similarity") * SCALE).cast("bigint")
     found = matrix.select("customer_id", "product_id").join(
-        nearest.select("product_id", "neighbour_id", points.alias("points")), "product_id"
+        nearest.select("product_id", "neighbour_id", points(F.col("similarity")).alias("points")), "product_id"
     )
     return found.groupBy("customer_id", F.col("neighbour_id").alias("product_id")).agg(
         F.sum("points").alias("points")
