@@ -13,7 +13,7 @@ from .clean import by_status
 from .ranking import top_n_per
 
 SCALE = 10**12
-BLOCK = 256  # products of one customer that one task pairs with that customer's other products
+BLOCK = 1024  # products of one customer per block; one join key pairs two blocks
 
 
 def interactions(sales: DataFrame, orders: DataFrame, status: str | None = "Delivered") -> DataFrame:
@@ -32,16 +32,20 @@ def user_item(rows: DataFrame) -> DataFrame:
 def _blocked(matrix: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Both sides of the pair join, with customers of many products cut into blocks.
 
-    A customer with m products gets b = ceil(m / BLOCK) blocks. Each product sits in one block
-    on the left and in all b on the right, so a join key holds about BLOCK x m pairs however
-    large the customer is, and customers below BLOCK products are not copied at all.
+    The b = ceil(m / BLOCK) blocks of a customer with m products meet in pairs (lo, hi), lo <= hi.
+    A product of block k is the lower one in (k, k..b-1) and the higher one in (0..k, k). So a join
+    key makes about BLOCK x BLOCK pairs however large the customer is, every two products meet under
+    one key, and customers of up to BLOCK products are not copied at all.
     """
     norms = matrix.groupBy("product_id").agg(F.sum(F.col("qty") * F.col("qty")).alias("norm2"))
     sizes = matrix.groupBy("customer_id").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     rows = matrix.join(norms, "product_id").join(sizes, "customer_id")
-    left = rows.withColumn("block", F.pmod(F.xxhash64("product_id"), F.col("blocks")).cast("int"))
-    right = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return left.drop("blocks"), right.drop("blocks")
+    block = F.pmod(F.xxhash64("product_id"), F.col("blocks")).cast("int")
+    product = F.struct("product_id", "qty", "norm2")
+    low = rows.select("customer_id", block.alias("lo"), "blocks", product.alias("x"))
+    high = rows.select("customer_id", block.alias("hi"), product.alias("y"))
+    low = low.withColumn("hi", F.explode(F.sequence("lo", F.col("blocks") - 1))).drop("blocks")
+    return low, high.withColumn("lo", F.explode(F.sequence(F.lit(0), "hi")))
 
 
 def item_pairs(matrix: DataFrame) -> DataFrame:
@@ -51,19 +55,21 @@ def item_pairs(matrix: DataFrame) -> DataFrame:
     small is the way there: pairs are summed in the task that makes them, before the shuffle,
     and large customers are spread over many join keys.
     """
-    left, right = _blocked(matrix)
-    a = left.select("customer_id", "block", *[F.col(c).alias(f"{c}_a") for c in ("product_id", "qty", "norm2")])
-    b = right.select("customer_id", "block", *[F.col(c).alias(f"{c}_b") for c in ("product_id", "qty", "norm2")])
+    low, high = _blocked(matrix)
+    # a given number of partitions: few bytes make many pairs, so AQE must not merge this exchange
+    parts = int(matrix.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = ["customer_id", "lo", "hi"]
+    met = low.repartition(parts, *keys).join(high, keys)
+    x, y = F.col("x"), F.col("y")
+    ordered = x["product_id"] < y["product_id"]
+    pairs = met.filter((F.col("lo") < F.col("hi")) | ordered).select(
+        F.when(ordered, x).otherwise(y).alias("a"), F.when(ordered, y).otherwise(x).alias("b")
+    )
     # the norms belong to the two products: carried along, they save two joins of the pairs
-    return (
-        a.join(b, ["customer_id", "block"])
-        .filter(F.col("product_id_a") < F.col("product_id_b"))
-        .groupBy("product_id_a", "product_id_b")
-        .agg(
-            F.sum(F.col("qty_a") * F.col("qty_b")).alias("dot"),
-            F.max("norm2_a").alias("norm2_a"),
-            F.max("norm2_b").alias("norm2_b"),
-        )
+    return pairs.groupBy(F.col("a.product_id").alias("product_id_a"), F.col("b.product_id").alias("product_id_b")).agg(
+        F.sum(F.col("a.qty") * F.col("b.qty")).alias("dot"),
+        F.max("a.norm2").alias("norm2_a"),
+        F.max("b.norm2").alias("norm2_b"),
     )
 
 
