@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import model
@@ -17,6 +17,24 @@ REFERENCE_DATE = "2002-01-01"
 CATEGORIES = ("ECONOMY", "STANDARD", "PROMO", "LARGE", "SMALL", "MEDIUM")
 REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
 
+# Declared, so that reading a table starts no job to look at its files.
+SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+                "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, "
+                "l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+}
+
+
+def hundredths(c: str) -> Column:
+    """A DOUBLE of two digits as whole hundredths."""
+    return F.floor(F.col(c) * 100 + 0.5)
+
 
 class TestModel:
     """Raw, starter and processed tables over one folder of Parquet files, all lazy."""
@@ -28,7 +46,7 @@ class TestModel:
         self.folder = folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     # -- raw layer --
 
@@ -85,16 +103,15 @@ class TestModel:
     def items(self) -> DataFrame:
         """Lines with a unit price in whole cents, so that quantity x price is exact."""
         quantity = F.col("l_quantity").cast("int")
-        cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-        cent = F.lit("0.01").cast("decimal(2,2)")
-        price = (F.floor(cents / quantity).cast("decimal(12,0)") * cent).cast("decimal(12,2)")
+        cents = F.floor(hundredths("l_extendedprice") / quantity)
+        price = (cents.cast("decimal(12,0)") * F.lit("0.01").cast("decimal(2,2)")).cast("decimal(12,2)")
         return self.table("lineitem").select(
             F.col("l_orderkey").alias("order_id"),
             F.col("l_linenumber").alias("line_no"),
             F.col("l_partkey").alias("product_id"),
             quantity.alias("quantity"),
             price.alias("unit_selling_price"),
-            F.round(F.col("l_discount") * 100).cast("decimal(6,2)").alias("discount_pct"),
+            hundredths("l_discount").cast("decimal(6,2)").alias("discount_pct"),
             (quantity * price).cast("decimal(14,2)").alias("line_revenue"),
         )
 
@@ -123,13 +140,13 @@ class TestModel:
 
     @cached_property
     def sales(self) -> DataFrame:
-        price = F.col("l_extendedprice").cast("decimal(12,2)")
-        kept = F.lit(1).cast("decimal(1,0)") - F.col("l_discount").cast("decimal(4,2)")
+        units = hundredths("l_extendedprice") * (100 - hundredths("l_discount"))
+        revenue = (units.cast("decimal(18,0)") * F.lit("0.0001").cast("decimal(4,4)")).cast("decimal(18,4)")
         return self.table("lineitem").select(
             F.col("l_orderkey").alias("order_id"),
             F.col("l_partkey").alias("product_id"),
             F.col("l_quantity").cast("int").alias("quantity"),
-            (price * kept).cast("decimal(18,4)").alias("revenue"),
+            revenue.alias("revenue"),
         )
 
     @cached_property
