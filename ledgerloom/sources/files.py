@@ -19,25 +19,23 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
-def read_csv(spark: SparkSession, path: str, schema: str, strict: bool = True, by_name: bool = True) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: str, strict: bool = True) -> DataFrame:
     """A CSV file with header, quotes and UTF-8 text (with or without BOM).
 
-    Columns are taken by name, so files may order them differently or have more. ``strict``
-    fails on malformed rows instead of reading nulls.
+    Columns are taken by name, in whatever order the header has them, and others are ignored. All
+    files of a folder must share one header. ``strict`` fails on malformed rows instead of reading nulls.
     """
     wanted = T.StructType.fromDDL(schema)
     options = {"header": True, "quote": '"', "escape": '"', "encoding": "UTF-8", "dateFormat": "yyyy-MM-dd"}
     mode = "FAILFAST" if strict else "PERMISSIVE"
-    if not by_name:
-        return spark.read.options(**options, mode=mode, enforceSchema=True).schema(wanted).csv(path)
     types = {f.name: f.dataType for f in wanted}
     header = spark.read.options(**options).csv(path).columns  # reads the first line only
-    found = [name.lstrip("﻿").strip() for name in header]
+    found = [name.lstrip("\ufeff").strip() for name in header]
     missing = [name for name in types if name not in found]
     if missing:
         raise ValueError(f"{path} lacks the columns {', '.join(missing)}")
     actual = T.StructType([T.StructField(name, types.get(name, T.StringType())) for name in found])
-    rows = spark.read.options(**options, mode=mode, enforceSchema=True).schema(actual).csv(path)
+    rows = spark.read.options(**options, mode=mode, enforceSchema=False).schema(actual).csv(path)
     return rows.select(*types)
 
 
