@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.batches import pieces, utf8
+from ledgerloom.llm.store import kept
 
 #: Letters to lower case; digits, marks and blanks become one byte; bytes beyond ASCII stay.
 FOLD = np.array([b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256)], np.uint8)
@@ -162,13 +163,7 @@ def train(docs: DataFrame, order: int = 3, max_rows: int = 4_000_000) -> Model |
     Counts come from every text. The frozen table goes to all tasks, so its size is checked: while
     it has more than ``max_rows`` rows, contexts get a byte shorter (of two bytes there are 65,536).
     """
-    spark = docs.sparkSession
-    shared = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    counted = count_grams(docs, order)
-    if shared:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(shared)
-        counted = counted.checkpoint()
+    counted = kept(count_grams(docs, order))
     while order > 1 and counted.count() > max_rows:
         order -= 1
         shorter = F.col("gram").bitwiseAND((1 << 8 * (order + 1)) - 1)
@@ -185,7 +180,7 @@ def train(docs: DataFrame, order: int = 3, max_rows: int = 4_000_000) -> Model |
 
 def _predict(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Model = shared.value
+        model = Model(**shared.value)
         names = np.array(model.langs, dtype=object)
         for batch in batches:
             raw, ends = utf8(batch.column("text"))
@@ -213,7 +208,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     docs = docs.drop("lang_pred", "score")
     if model is None:
         return docs.select("*", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     scored = docs.mapInArrow(_predict(shared), schema + ", lang_pred string, score double")
     known = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))

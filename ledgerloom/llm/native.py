@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Characters that separate words: space, tab, line feed, vertical tab, form feed, carriage return.
@@ -30,3 +30,9 @@ def lower_ascii(text: Column) -> Column:
 def digest(text: Column) -> Column:
     """16 bytes that stand for a text; null stands for itself."""
     return F.unhex(F.md5(F.encode(text, "UTF-8")))
+
+
+def apart(docs: DataFrame, names: tuple[str, ...]) -> tuple[DataFrame, list[Column]]:
+    """``docs`` with columns of these names renamed, and what selects all its columns as they were."""
+    new = {c: f"_own_{c}" for c in docs.columns if c in names}
+    return docs.withColumnsRenamed(new), [F.col(new.get(c, c)).alias(c) for c in docs.columns]

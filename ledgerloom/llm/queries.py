@@ -7,13 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, decontaminate, language, secrets
+from ledgerloom.llm import chat, decontaminate, language, mixing, quality, secrets
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality_digest(quality.judge(table(spark, folder, "documents").select("doc_id", "text", "source")))
+
+
+def op3_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mixing.mix_documents(table(spark, folder, "documents").select("doc_id", "text", "source"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op6_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secrets_digest(secrets.find_secrets(table(spark, folder, "documents").select("doc_id", "text")))
 
@@ -38,6 +47,8 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_rules": op1_quality_rules,
+    "op3_mix_sources": op3_mix_sources,
     "op6_secret_scan": op6_secret_scan,
     "op8_language_id": op8_language_id,
     "op9_chat_format": op9_chat_format,

@@ -52,9 +52,13 @@ MOST_STRINGS = 64
 
 
 def _clause(strings: set[str]) -> Query:
-    """What holds if one of the strings occurs: nothing if one of them is shorter than a trigram."""
+    """What holds if one of the strings occurs: nothing if one of them is shorter than a trigram.
+
+    A set that holds another one asks for more than is needed and is left out.
+    """
     sets = [frozenset(s[i : i + 3] for i in range(len(s) - 2)) for s in sorted(strings)]
-    return [sets] if all(sets) else []
+    least = [s for s in dict.fromkeys(sets) if not any(other < s for other in sets)]
+    return [least] if all(sets) else []
 
 
 def _walk(items, flags: int) -> tuple[set[str] | None, Query]:
