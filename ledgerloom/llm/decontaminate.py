@@ -10,10 +10,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Words are runs of ASCII letters and digits and of all characters beyond ASCII.
-WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+from ledgerloom.llm.native import apart
+
+#: Words, in a text as it stands: runs of ASCII letters and digits and of all characters beyond ASCII.
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 #: Byte by byte: letters to lower case, all that parts words to a blank.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
+ADDED = ("n_words", "found", "n_hit", "items", "spans", "contaminated")
 FOUND = "array<struct<word:int,words:int,item:string>>"
 
 
@@ -153,7 +156,7 @@ def mark_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 13, sha
     [start, end) in code points of the original text. A document is contaminated when it has hit
     words and they are at least 1/``share`` of its words.
     """
-    old = [c for c in docs.columns if c not in ("n_words", "found", "n_hit", "items", "spans", "contaminated")]
+    old = [c for c in docs.columns if c not in ADDED]
     found = find_items(docs.select(*old), benchmark, size, **limits)
     fields = [f for f in found.schema.fields if f.name != "found"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
@@ -164,7 +167,8 @@ def mark_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 13, sha
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **how: int) -> DataFrame:
     """``docs`` without the contaminated documents."""
-    return mark_contaminated(docs, benchmark, **how).where(~F.col("contaminated")).select(*docs.columns)
+    docs, columns = apart(docs, ADDED)
+    return mark_contaminated(docs, benchmark, **how).where(~F.col("contaminated")).select(*columns)
 
 
 def contamination_digest(marked: DataFrame) -> DataFrame:
