@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, decontaminate, language, mixing, quality, secrets
+from ledgerloom.llm import chat, decontaminate, jaccard, language, mixing, quality, secrets
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_digest(quality.judge(table(spark, folder, "documents").select("doc_id", "text", "source")))
 
 
+def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.link_documents(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op3_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix_documents(table(spark, folder, "documents").select("doc_id", "text", "source"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -48,6 +52,7 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_mix_sources": op3_mix_sources,
     "op6_secret_scan": op6_secret_scan,
     "op8_language_id": op8_language_id,
