@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, decontaminate, jaccard, language, mixing, quality, secrets
+from ledgerloom.llm import chat, classifier, decontaminate, jaccard, language, lines, mixing, quality, secrets
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -27,6 +27,17 @@ def op3_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "source", "lang")
+    told = classifier.classify(docs, table(spark, folder, "labels"))
+    return told.select("doc_id", "e_quality", "e_toxic", "p_quality", "p_toxic", "kept")
+
+
+def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    marked = lines.mark_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    return marked.select("doc_id", F.col("lines").alias("n_lines"), F.size("cut").cast("long").alias("n_removed"), F.col("cut").alias("removed"))
+
+
 def op6_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secrets_digest(secrets.find_secrets(table(spark, folder, "documents").select("doc_id", "text")))
 
@@ -54,6 +65,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_mix_sources": op3_mix_sources,
+    "op4_quality_classifier": op4_quality_classifier,
+    "op5_line_dedup": op5_line_dedup,
     "op6_secret_scan": op6_secret_scan,
     "op8_language_id": op8_language_id,
     "op9_chat_format": op9_chat_format,

@@ -23,23 +23,26 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(raw: np.ndarray, ends: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of rows lo..hi, A-Z lower-cased, and each row's place in them."""
-    text = LOWER[raw[ends[lo] : ends[hi]]]
-    starts = ends[lo : hi + 1] - ends[lo]
-    solid = ~BLANK[text]
+def word_starts(text: np.ndarray, starts: np.ndarray, blank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(where words begin, which bytes are in words) of texts that begin at ``starts``."""
+    solid = ~blank[text]
     first = solid.copy()
     first[1:] &= ~solid[:-1]
     edge = starts[:-1][np.diff(starts) > 0]
     first[edge] = solid[edge]
-    begin = np.flatnonzero(first)
+    return np.flatnonzero(first), solid
+
+
+def word_hashes(raw: np.ndarray, ends: np.ndarray, lo: int, hi: int, fold: np.ndarray = LOWER) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of rows lo..hi, bytes replaced by ``fold``, and each row's place in them."""
+    text = fold[raw[ends[lo] : ends[hi]]]
+    starts = ends[lo : hi + 1] - ends[lo]
+    begin, solid = word_starts(text, starts, BLANK)
     if not len(begin):
         return np.zeros(0, np.uint64), np.zeros(hi - lo + 1, np.int64)
     # Sum of byte numbers times the power of the place in the word, blanks counting nothing.
-    place = np.arange(len(text)) - np.repeat(begin, np.diff(np.append(begin, len(text)))) if begin[0] == 0 else None
-    if place is None:
-        place = np.arange(len(text))
-        place[begin[0] :] -= np.repeat(begin, np.diff(np.append(begin, len(text))))
+    place = np.arange(len(text))
+    place[begin[0] :] -= np.repeat(begin, np.diff(np.append(begin, len(text))))
     power = np.cumprod(np.full(min(int(place.max()) + 1, len(text)), STEP, np.uint64))
     value = BYTE[text] * power[place]
     value[~solid] = 0
