@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.batches import utf8
+from ledgerloom.llm.bits import bit_filter, passes
 from ledgerloom.llm.graph import components
 from ledgerloom.llm.native import digest
 from ledgerloom.llm.shingles import mixed, set_id, shingle_sets
@@ -43,8 +44,6 @@ LOW = 4
 TINY = 12
 #: Families that a list may hold and still be paired.
 LONG = 32
-#: Bits of the filters that spare most of the work on sets out of question; they only let too much pass.
-BITS = 26
 
 
 def needed(n: int, m: int) -> int:
@@ -88,28 +87,6 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _passes(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
-    at = mixed(h.view(np.uint64)) >> np.uint64(64 - BITS)
-    return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
-
-
-def _set_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    words = np.zeros(1 << (BITS - 6), np.uint64)
-    for batch in batches:
-        at = mixed(batch.column(0).to_numpy().view(np.uint64)) >> np.uint64(64 - BITS)
-        np.bitwise_or.at(words, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
-    used = np.flatnonzero(words)
-    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(words[used].view(np.int64))], ["word", "bits"])
-
-
-def bit_filter(values: DataFrame):
-    """A broadcast bitmap of a column of longs, of 2 ** BITS bits however many values there are."""
-    words = values.mapInArrow(_set_bits, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
-    bits = np.zeros(1 << (BITS - 6), np.uint64)
-    bits[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
-    return values.sparkSession.sparkContext.broadcast(bits.view(np.uint8))
-
-
 def _sets(wanted):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, seen = wanted.value, set()
@@ -118,7 +95,7 @@ def _sets(wanted):
             sids, sets, size = [], [], 0
             for _, own in shingle_sets(raw, ends, SIZE):
                 sid = set_id(own)
-                if len(own) and sid not in seen and _passes(bits, np.array([sid], np.int64))[0]:
+                if len(own) and sid not in seen and passes(bits, np.array([sid], np.int64))[0]:
                     seen.add(sid)
                     sids.append(sid)
                     sets.append(own.view(np.int64))
@@ -226,10 +203,10 @@ def _listed(least_n: int, whole, some):
                 if sid in seen:
                     continue
                 seen.add(sid)
-                if whole is None or not _passes(whole.value, np.array([sid], np.int64))[0]:
+                if whole is None or not passes(whole.value, np.array([sid], np.int64))[0]:
                     own = own[: prefix(n) + spare(n)]
                     if some is not None:
-                        own = own[_passes(some.value, own.view(np.int64))]
+                        own = own[passes(some.value, own.view(np.int64))]
                 tokens.append(own)
                 sids.append(np.full(len(own), sid, np.int64))
                 size += len(own)
@@ -316,7 +293,7 @@ def _tokens(whole):
         for batch in batches:
             raw, ends = utf8(batch.column("text"))
             for _, own in shingle_sets(raw, ends, SIZE):
-                if len(own) and _passes(whole.value, np.array([set_id(own)], np.int64))[0]:
+                if len(own) and passes(whole.value, np.array([set_id(own)], np.int64))[0]:
                     yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64))], ["token"])
 
     return run

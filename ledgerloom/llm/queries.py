@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, classifier, decontaminate, jaccard, language, lines, mixing, quality, secrets
+from ledgerloom.llm import chat, classifier, decontaminate, jaccard, language, lines, mixing, quality, secrets, suffixes
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -42,6 +42,11 @@ def op6_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secrets_digest(secrets.find_secrets(table(spark, folder, "documents").select("doc_id", "text")))
 
 
+def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = suffixes.cut_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
     out = language.held_out(F.col("doc_id"))
@@ -68,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_classifier": op4_quality_classifier,
     "op5_line_dedup": op5_line_dedup,
     "op6_secret_scan": op6_secret_scan,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_language_id": op8_language_id,
     "op9_chat_format": op9_chat_format,
     "op10_decontaminate": op10_decontaminate,
