@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -12,6 +11,7 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -30,23 +30,33 @@ def build_session(app: str = "ledgerloom", master: str | None = None, **conf: ob
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor sees, as named by ``spark.checkpoint.dir``.
-
-    Only a local session without that setting gets a temporary folder of its own.
-    """
+    """The folder every executor sees: ``spark.checkpoint.dir``, or one below the warehouse if unset."""
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(named)
-        return named
+    folder = named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     if sc.getCheckpointDir() is None:
-        if not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerloom-"))
-    return sc.getCheckpointDir()
+        sc.setCheckpointDir(folder)
+    return folder
+
+
+_scratch: dict[str, list[str]] = {}
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A new, unused path below the shared folder. ``clean_scratch`` deletes it."""
+    path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _scratch.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Deletes the session's scratch tables and checkpoints. Frames that read them are lost, so call it last."""
+    jvm, sc = spark.sparkContext._jvm, spark.sparkContext
+    paths = _scratch.pop(sc.applicationId, [])
+    if sc.getCheckpointDir() is not None:
+        paths.append(sc.getCheckpointDir())
+        sc.setCheckpointDir(shared_dir(spark))  # a new folder of its own for what comes next
+        paths.append(sc.getCheckpointDir())
+    for path in paths:
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True)
