@@ -4,13 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from ledgerloom.session import shared_dir
+
 
 def kept(df: DataFrame) -> DataFrame:
-    """A checkpoint in the folder that the session names; the frame itself where none is named."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        if not named:
-            return df
-        spark.sparkContext.setCheckpointDir(named)
+    """A checkpoint in the folder that the session names."""
+    shared_dir(df.sparkSession)
     return df.checkpoint()
