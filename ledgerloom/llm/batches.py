@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are worked on at once; a single longer text makes a piece of its own.
-PIECE = 4 << 20
+PIECE = 1 << 20
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
