@@ -83,12 +83,19 @@ def quantile_bin_of(rn: Column, n: Column, bins: int = 5) -> Column:
     return F.greatest(F.lit(1), F.ceil(raised / steps)).cast("int")
 
 
-def global_scores(df: DataFrame, columns: dict[str, Sequence[Column]], rule, buckets: int = 5) -> DataFrame:
-    """Adds one bucket number per entry of ``columns`` (score name -> total order).
+def global_scores(df: DataFrame, key: str, columns: Sequence[str], rule, buckets: int = 5) -> DataFrame:
+    """``df`` with a column ``<name>_bucket`` for each numeric column: the bucket of its row number.
 
-    ``rule`` is ``ntile_of`` or ``quantile_bin_of``.
+    Rows are numbered by (value with null last, key); ``key`` is unique and not null. ``rule`` is
+    ``ntile_of`` or ``quantile_bin_of``. All columns are numbered in one range sort of (column, value,
+    key), so that only those three travel and only they are checkpointed.
     """
-    for name, order in columns.items():
-        df = global_row_number(df, order, "_rn", "_n")
-        df = df.withColumn(name, rule(F.col("_rn"), F.col("_n"), buckets)).drop("_rn", "_n")
-    return df
+    names = sorted(columns)
+    values = [F.struct(F.lit(i).alias("_of"), F.col(c).cast("decimal(38,6)").alias("_value")) for i, c in enumerate(names)]
+    slim = df.select(key, F.inline(F.array(*values)))
+    order = [F.asc("_of"), F.asc_nulls_last("_value"), F.asc(key)]
+    numbered = global_row_number(slim, order, "_rn", "_n")
+    rows = (F.col("_n") / len(names)).cast("long")
+    bucket = rule(F.col("_rn") - F.col("_of") * rows, rows, buckets)
+    told = numbered.groupBy(key).agg(*[F.max(F.when(F.col("_of") == i, bucket)).alias(f"{c}_bucket") for i, c in enumerate(names)])
+    return df.join(told, key)

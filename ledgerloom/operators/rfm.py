@@ -12,6 +12,7 @@ from .ranking import global_scores, ntile_of, quantile_bin_of, top_k
 
 REFERENCE_DATE = "2026-01-01"  # fixed value: the day recency is counted from
 
+# The columns of the CRM export.
 EXPORT_COLUMNS = (
     "customer_id", "customer_name", "email", "region", "customer_segment", "last_order_date",
     "recency_days", "frequency", "monetary", "r_score", "f_score", "m_score", "rfm_code",
@@ -31,15 +32,11 @@ def rfm_base(orders: DataFrame, reference_date: str = REFERENCE_DATE, status: st
 
 
 def _scored(base: DataFrame, rule) -> DataFrame:
-    tie = F.asc("customer_id")
-    orders = {
-        "r_score": [F.asc_nulls_last("recency_days"), tie],
-        "f_score": [F.asc_nulls_last("frequency"), tie],
-        "m_score": [F.asc_nulls_last("monetary"), tie],
-    }
-    scored = global_scores(base, orders, rule).withColumn("r_score", 6 - F.col("r_score"))
-    code = F.concat(*[F.col(c).cast("string") for c in orders])
-    return scored.withColumn("rfm_code", code).withColumn("rfm_segment", rfm_segment(*orders))
+    told = global_scores(base, "customer_id", ["recency_days", "frequency", "monetary"], rule)
+    scores = {"r_score": 6 - F.col("recency_days_bucket"), "f_score": F.col("frequency_bucket"), "m_score": F.col("monetary_bucket")}
+    scored = told.select(*base.columns, *[c.alias(name) for name, c in scores.items()])
+    code = F.concat(*[F.col(c).cast("string") for c in scores])
+    return scored.withColumn("rfm_code", code).withColumn("rfm_segment", rfm_segment(*scores))
 
 
 def rfm_ntile(base: DataFrame) -> DataFrame:
@@ -53,10 +50,11 @@ def rfm_qcut(base: DataFrame) -> DataFrame:
 
 
 def rfm_sql(orders: DataFrame, reference_date: str = REFERENCE_DATE, status: str | None = "Delivered") -> DataFrame:
-    """NTILE scores and segment per customer."""
-    return rfm_ntile(rfm_base(orders, reference_date, status)).withColumnRenamed("rfm_segment", "segment").select(
+    """NTILE scores and segment per customer, the largest revenue first."""
+    scored = rfm_ntile(rfm_base(orders, reference_date, status)).withColumnRenamed("rfm_segment", "segment").select(
         "customer_id", "recency_days", "frequency", "monetary", "r_score", "f_score", "m_score", "rfm_code", "segment"
     )
+    return scored.orderBy(F.desc_nulls_last("monetary"), F.asc("customer_id"))
 
 
 def with_crm_actions(scored: DataFrame) -> DataFrame:

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ..functions import dates
 from ..functions.numbers import growth_percent, percent, rounded
-from ..session import shared_dir
 
 
 def date_bounds(df: DataFrame, date: str = "order_date") -> DataFrame:
@@ -86,14 +85,12 @@ def with_share(
     """Each row's part of the total of ``value`` in percent.
 
     A window over all rows would bring them to one task, so it is used only for ``few_rows``
-    (months, categories, regions). Otherwise the rows are checkpointed and the total is a scalar
-    subquery over them: the data behind ``df`` is read once and the total comes from partial sums.
+    (months, categories, regions). Otherwise the total is a scalar subquery over the same frame: it
+    comes from partial sums, and what the two have in common is shuffled once.
     """
     if few_rows:
         total = F.sum(value).over(Window.partitionBy())
     else:
-        shared_dir(df.sparkSession)
-        df = df.checkpoint()
         total = df.agg(F.sum(value)).scalar()
     return df.withColumn(out, rounded(percent(F.col(value), total), digits))
 
