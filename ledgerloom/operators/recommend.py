@@ -9,11 +9,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .clean import by_status
 from .ranking import top_n_per
 
 SCALE = 10**12
 BLOCK = 1024  # products of one customer per block; one join key pairs two blocks
+PAIRS = 4_000_000  # pairs per task of the pair join, a few join keys of the largest kind
+MOST_TASKS = 100_000
 
 
 def interactions(sales: DataFrame, orders: DataFrame, status: str | None = "Delivered") -> DataFrame:
@@ -48,6 +51,22 @@ def _blocked(matrix: DataFrame) -> tuple[DataFrame, DataFrame]:
     return low, high.withColumn("lo", F.explode(F.sequence(F.lit(0), "hi")))
 
 
+def _staged(matrix: DataFrame) -> DataFrame:
+    """The matrix as a written table: norms, sizes and both sides of the join read it."""
+    spark = matrix.sparkSession
+    path = scratch_path(spark, "matrix")
+    matrix.write.parquet(path)
+    return spark.read.schema(matrix.schema).parquet(path)
+
+
+def _pair_tasks(matrix: DataFrame) -> int:
+    """Tasks for the pair join: as many as give each ``PAIRS`` pairs on average."""
+    m = F.col("m").cast("double")
+    sizes = matrix.groupBy("customer_id").agg(F.count("*").alias("m"))
+    pairs = sizes.agg(F.sum(m * (m + 1) / 2)).first()[0] or 0
+    return int(min(max(1, -(-pairs // PAIRS)), MOST_TASKS))
+
+
 def item_pairs(matrix: DataFrame) -> DataFrame:
     """Products bought by a common customer, smaller id first, with dot product and norms.
 
@@ -55,11 +74,11 @@ def item_pairs(matrix: DataFrame) -> DataFrame:
     small is the way there: pairs are summed in the task that makes them, before the shuffle,
     and large customers are spread over many join keys.
     """
+    matrix = _staged(matrix)
     low, high = _blocked(matrix)
-    # a given number of partitions: few bytes make many pairs, so AQE must not merge this exchange
-    parts = int(matrix.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # few bytes make many pairs, so the work sets the number of tasks and AQE must not merge them
     keys = ["customer_id", "lo", "hi"]
-    met = low.repartition(parts, *keys).join(high, keys)
+    met = low.repartition(_pair_tasks(matrix), *keys).join(high, keys)
     x, y = F.col("x"), F.col("y")
     ordered = x["product_id"] < y["product_id"]
     pairs = met.filter((F.col("lo") < F.col("hi")) | ordered).select(
