@@ -40,6 +40,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 _scratch: dict[str, list[str]] = {}
+_tables: dict[str, list[str]] = {}
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -49,9 +50,18 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def scratch_table(spark: SparkSession, label: str) -> str:
+    """A new, unused table name. ``clean_scratch`` drops the table."""
+    name = f"{label}_{uuid.uuid4().hex}"
+    _tables.setdefault(spark.sparkContext.applicationId, []).append(name)
+    return name
+
+
 def clean_scratch(spark: SparkSession) -> None:
     """Deletes the session's scratch tables and checkpoints. Frames that read them are lost, so call it last."""
     jvm, sc = spark.sparkContext._jvm, spark.sparkContext
+    for name in _tables.pop(sc.applicationId, []):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
     paths = _scratch.pop(sc.applicationId, [])
     if sc.getCheckpointDir() is not None:
         paths.append(sc.getCheckpointDir())

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,9 +34,17 @@ def read_csv(spark: SparkSession, path: str, schema: str, strict: bool = True) -
     missing = [name for name in types if name not in found]
     if missing:
         raise ValueError(f"{path} lacks the columns {', '.join(missing)}")
-    actual = T.StructType([T.StructField(name, types.get(name, T.StringType())) for name in found])
+    wide = {name: T.DecimalType(24, 4) if isinstance(kind, T.IntegralType) else kind for name, kind in types.items()}
+    actual = T.StructType([T.StructField(name, wide.get(name, T.StringType())) for name in found])
     rows = spark.read.options(**options, mode=mode, enforceSchema=False).schema(actual).csv(path)
-    return rows.select(*types)
+    return rows.select(*[_whole(name, kind, strict) if name in types and wide[name] != kind else F.col(f"`{name}`") for name, kind in types.items()])
+
+
+def _whole(name: str, kind: T.DataType, strict: bool) -> Column:
+    """A decimal column as whole numbers, so that 2 and 2.0 are the same; a fraction fails, or is null if not ``strict``."""
+    value = F.col(f"`{name}`")
+    refused = F.raise_error(F.concat(F.lit(f"{name} is not a whole number: "), value.cast("string"))).cast(kind) if strict else F.lit(None).cast(kind)
+    return F.when(value.isNull() | (value == F.floor(value)), value.cast(kind)).otherwise(refused).alias(name)
 
 
 def read_untyped(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:

@@ -49,8 +49,25 @@ def write_jdbc(
         df.write.format("jdbc").options(**options).mode(mode).save()
 
 
-def read_any(spark: SparkSession, url: str | None, folder: str, names: tuple[str, ...] = APP_TABLES) -> dict[str, DataFrame]:
-    """Processed tables from the database if one is configured, else from files."""
+def read_any(
+    spark: SparkSession,
+    url: str | None,
+    folder: str,
+    names: tuple[str, ...] = APP_TABLES,
+    splits: dict[str, tuple[str, object, object]] | None = None,
+) -> dict[str, DataFrame]:
+    """Processed tables from the database if one is configured, else from files.
+
+    ``splits`` gives (column, lower, upper) per table; each table of a database needs one, so that no
+    table comes over a single connection.
+    """
     if url:
-        return {name: read_jdbc(spark, url, name) for name in names if name in PROCESSED}
+        splits = splits or {}
+        unknown = [name for name in names if name not in PROCESSED]
+        if unknown:
+            raise ValueError(f"no processed tables {', '.join(unknown)}")
+        whole = [name for name in names if name not in splits]
+        if whole:
+            raise ValueError(f"no split column for {', '.join(whole)}")
+        return {name: read_jdbc(spark, url, name, *splits[name]) for name in names}
     return read_processed(spark, folder, names)
