@@ -57,15 +57,21 @@ def _growth(source: str, partition: str = "", digits: int | None = None, out: st
 
 
 def _calendar_growth(months: int, out: str) -> str:
-    return f"""SELECT month_start, CAST(revenue AS DOUBLE) AS revenue, CAST(prev AS DOUBLE) AS prev_revenue, {_MOM} AS {out}
-        FROM (SELECT a.month_start, a.revenue, b.revenue AS prev FROM m_spotty a
-              LEFT JOIN m_spotty b ON b.month_start = a.month_start - INTERVAL {months} MONTH)"""
+    return f"""SELECT product_id, month_start, CAST(revenue AS DOUBLE) AS revenue, CAST(prev AS DOUBLE) AS prev_revenue, {_MOM} AS {out}
+        FROM (SELECT a.product_id, a.month_start, a.revenue, b.revenue AS prev FROM m_product_months a
+              LEFT JOIN m_product_months b ON b.product_id = a.product_id AND b.month_start = a.month_start - INTERVAL {months} MONTH)"""
 
 
 QUERIES = {
     # sources and sinks
-    "scan_raw": f"""SELECT CAST(order_id AS VARCHAR) AS order_id, line_no, CAST(product_id AS VARCHAR) AS product_id,
-        {_RAW_ITEM} FROM m_raw_items""",
+    "scan_raw": """
+        SELECT 'customers' AS table_name, COUNT(*) AS n_rows, COUNT(DISTINCT customer_id) AS n_keys, CAST(NULL AS DOUBLE) AS amount
+        FROM m_customers
+        UNION ALL SELECT 'products', COUNT(*), COUNT(DISTINCT product_id), CAST(SUM(unit_price) AS DOUBLE) FROM m_products
+        UNION ALL SELECT 'orders', COUNT(*), COUNT(DISTINCT order_id), NULL FROM m_orders
+        UNION ALL SELECT 'order_items', COUNT(*), COUNT(DISTINCT (order_id, line_no, product_id)), CAST(SUM(line_revenue) AS DOUBLE)
+        FROM m_raw_items
+        UNION ALL SELECT 'payments', COUNT(*), COUNT(DISTINCT payment_id), CAST(SUM(amount) AS DOUBLE) FROM m_payments""",
     "scan_processed": f"""SELECT * REPLACE (CAST(order_id AS VARCHAR) AS order_id, CAST(customer_id AS VARCHAR) AS customer_id)
         FROM (SELECT {_ORDER} FROM m_fct_orders)""",
     "scan_with_fallback": f"""SELECT * REPLACE (CAST(customer_id AS VARCHAR) AS customer_id)
@@ -123,10 +129,14 @@ QUERIES = {
         CAST(COALESCE(SUM(order_profit), 0) AS DOUBLE) AS total_profit,
         CAST(CASE WHEN MAX(order_date) - MIN(order_date) < 1 THEN 1 ELSE MAX(order_date) - MIN(order_date) END AS INTEGER)
             AS customer_tenure_days
-        FROM m_customers c LEFT JOIN (SELECT * FROM m_fct_orders WHERE order_status = 'F' AND order_revenue > 400000) o
+        FROM m_customers c LEFT JOIN (SELECT * FROM m_fct_orders WHERE order_status = 'F') o
         ON o.customer_id = c.customer_id GROUP BY c.customer_id""",
     "flag_negative_mom": f"""SELECT month_start, COALESCE({_MOM} < -10, FALSE) AS is_red, COALESCE({_MOM} < 0, FALSE) AS is_negative
         FROM (SELECT *, LAG(revenue) OVER (ORDER BY month_start) AS prev FROM m_monthly)""",
+    "sample_base": """SELECT order_id, order_date, CAST(strftime(order_date, '%Y%m%d') AS INTEGER) AS order_date_key, customer_id,
+        customer_name, region, product_id, product_name, category, quantity, CAST(revenue AS DOUBLE) AS revenue,
+        CAST(unit_price AS DOUBLE) AS unit_price, CAST(unit_cost AS DOUBLE) AS unit_cost, CAST(profit AS DOUBLE) AS profit
+        FROM m_base b ORDER BY order_id, product_id, quantity, b.revenue LIMIT 5""",
     # quality
     "check_not_null": " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, COUNT(*) FILTER ({c} IS NULL) AS violations FROM m_payments"
@@ -181,7 +191,7 @@ QUERIES = {
     "cohort_assign": """SELECT order_id, customer_id, order_month, cohort_month,
         CAST(date_diff('month', cohort_month, order_month) AS INTEGER) AS cohort_index FROM m_cohort_orders""",
     "cohort_size_join": """WITH o AS (SELECT customer_id, CAST(date_trunc('month', order_date) AS DATE) AS mo FROM m_orders
-            WHERE order_status = 'P'),
+            WHERE order_status = 'F'),
         f AS (SELECT customer_id, MIN(mo) AS cohort_month FROM o GROUP BY 1),
         sizes AS (SELECT cohort_month, COUNT(*) AS cohort_size FROM f GROUP BY 1)
         SELECT DISTINCT cohort_month, CAST(date_diff('month', cohort_month, mo) AS INTEGER) AS cohort_index, cohort_size
@@ -191,9 +201,8 @@ QUERIES = {
         FROM m_rfm_base b LEFT JOIN m_customers c ON c.customer_id = b.customer_id""",
     "lookup_join_skip_missing": """SELECT s.order_id, order_date, month_start, CAST(month(order_date) AS INTEGER) AS month_num,
         customer_id, s.product_id, product_name, category, quantity, CAST(revenue AS DOUBLE) AS revenue,
-        CAST(revenue - unit_cost * quantity AS DOUBLE) AS profit
-        FROM m_sales_orders s JOIN m_products_some_cost p ON p.product_id = s.product_id
-        WHERE order_status = 'F' AND unit_cost IS NOT NULL""",
+        CAST(revenue - COALESCE(unit_cost, 0) * quantity AS DOUBLE) AS profit
+        FROM m_sales_orders s JOIN m_products_some_cost p ON p.product_id = s.product_id""",
     "related_lookup": """SELECT s.product_id, CAST(SUM(quantity) AS BIGINT) AS units,
         CAST(SUM(quantity * COALESCE(unit_cost, 0)) AS DOUBLE) AS total_cost
         FROM m_sales s LEFT JOIN m_products_some_cost p ON p.product_id = s.product_id GROUP BY s.product_id""",
@@ -282,6 +291,21 @@ QUERIES = {
     "measures_by_customer": """SELECT o.customer_id, COUNT(DISTINCT o.order_id) AS total_orders,
         CAST(SUM(revenue) AS DOUBLE) AS customer_ltv
         FROM m_orders o LEFT JOIN m_sales s ON s.order_id = o.order_id GROUP BY o.customer_id""",
+    "measures_by_category": """SELECT category, region, CAST(SUM(revenue) AS DOUBLE) AS total_revenue,
+        CAST(SUM(quantity) AS BIGINT) AS total_units, COUNT(DISTINCT order_id) AS total_orders,
+        CAST(SUM(revenue) AS DOUBLE) / COUNT(DISTINCT order_id) AS aov, CAST(SUM(revenue - profit) AS DOUBLE) AS total_cost,
+        CAST(SUM(profit) AS DOUBLE) AS total_profit, CAST(SUM(profit) AS DOUBLE) / CAST(SUM(revenue) AS DOUBLE) AS profit_margin,
+        CAST(SUM(revenue) AS DOUBLE) AS customer_ltv
+        FROM (SELECT s.*, category, revenue - COALESCE(unit_cost, 0) * quantity AS profit
+              FROM m_sales_orders s JOIN m_products_some_cost p ON p.product_id = s.product_id) GROUP BY category, region""",
+    "measures_enterprise": """SELECT CAST(year(order_date) AS INTEGER) AS year, region, CAST(SUM(order_revenue) AS DOUBLE) AS revenue,
+        CAST(SUM(order_profit) AS DOUBLE) AS profit, COUNT(DISTINCT order_id) AS orders,
+        CAST(SUM(order_profit) AS DOUBLE) / CAST(SUM(order_revenue) AS DOUBLE) AS margin,
+        CAST(SUM(order_revenue) AS DOUBLE) / COUNT(DISTINCT order_id) AS aov FROM m_fct_orders GROUP BY ALL""",
+    "top_products_by_profit": """SELECT product_id, product_name, category, CAST(SUM(total_revenue) AS DOUBLE) AS total_revenue,
+        CAST(SUM(quantity) AS BIGINT) AS units_sold, CAST(SUM(line_profit) AS DOUBLE) AS total_profit
+        FROM m_fct_items JOIN m_orders USING (order_id) WHERE order_status = 'F' GROUP BY product_id, product_name, category
+        ORDER BY SUM(line_profit) DESC, product_id LIMIT 20""",
     "rfm_base": "SELECT * REPLACE (CAST(monetary AS DOUBLE) AS monetary) FROM m_rfm_base",
     "rfm_summary": "SELECT * REPLACE (CAST(revenue AS DOUBLE) AS revenue) FROM m_rfm_summary",
     "cohort_retention": "SELECT * FROM m_retention",
@@ -309,16 +333,17 @@ QUERIES = {
         FROM m_monthly_region
         UNION ALL SELECT month_start, category, CAST(revenue AS DOUBLE), 'category' FROM m_monthly_category""",
     # windows
-    "mom_growth_lag": _growth("m_spotty", digits=2),
+    "mom_growth_lag": _growth("m_product_months", "PARTITION BY product_id", digits=2),
     "mom_growth_by_region": f"""SELECT * FROM (
         {_growth("m_monthly_region", "PARTITION BY region", 2, "region_mom_growth_pct")}) WHERE prev_revenue IS NOT NULL""",
     "mom_growth_by_category": f"""SELECT * FROM (
         {_growth("m_monthly_category", "PARTITION BY category", 2, "category_mom_growth_pct")}) WHERE prev_revenue IS NOT NULL""",
     "mom_growth_zero_filled": f"""WITH filled AS (
-            SELECT CAST(c.month_start AS DATE) AS month_start, COALESCE(revenue, 0) AS revenue
-            FROM (SELECT unnest(generate_series((SELECT MIN(month_start) FROM m_spotty), (SELECT MAX(month_start) FROM m_spotty),
-                                INTERVAL 1 MONTH)) AS month_start) c LEFT JOIN m_spotty s ON s.month_start = c.month_start)
-        {_growth("filled")}""",
+            SELECT c.product_id, CAST(c.month_start AS DATE) AS month_start, COALESCE(revenue, 0) AS revenue
+            FROM (SELECT product_id, unnest(generate_series(MIN(month_start), MAX(month_start), INTERVAL 1 MONTH)) AS month_start
+                  FROM m_product_months GROUP BY product_id) c
+            LEFT JOIN m_product_months s ON s.product_id = c.product_id AND s.month_start = c.month_start)
+        {_growth("filled", "PARTITION BY product_id")}""",
     "mom_growth_calendar": _calendar_growth(1, "mom_growth_pct"),
     "yoy_growth_calendar": _calendar_growth(12, "yoy_growth_pct"),
     "rfm_ntile": "SELECT customer_id, r_score, f_score, m_score FROM m_rfm_ntile",
@@ -390,8 +415,8 @@ QUERIES = {
         ROUND((f.forecast_revenue - MIN(f.forecast_revenue) OVER (PARTITION BY region))
               / (MAX(f.forecast_revenue) OVER (PARTITION BY region) - MIN(f.forecast_revenue) OVER (PARTITION BY region)), 8)
             AS forecast_index FROM m_forecast_region f""",
-    "forecast_fallback_mean": "SELECT month, ROUND(forecast_revenue, 2) AS forecast_revenue, method FROM m_forecast9",
-    "forecast_trend_only": "SELECT month, ROUND(forecast_revenue, 2) AS forecast_revenue, method FROM m_forecast18",
+    "forecast_fallback_mean": "SELECT customer_id, month, ROUND(forecast_revenue + 1e-6, 2) AS forecast_revenue, method FROM m_forecast_revenue",
+    "forecast_trend_only": "SELECT customer_id, month, ROUND(forecast_revenue + 1e-6, 2) AS forecast_revenue, method FROM m_forecast_profit",
     "forecast_index": """SELECT month, ROUND((f.forecast_revenue - MIN(f.forecast_revenue) OVER ())
         / (MAX(f.forecast_revenue) OVER () - MIN(f.forecast_revenue) OVER ()), 8) AS forecast_index FROM m_forecast12 f""",
     "rfm_crm_export": "SELECT * FROM m_rfm_export",
@@ -415,6 +440,8 @@ QUERIES = {
          FROM m_region_sales ORDER BY revenue DESC, region LIMIT 1)
         UNION ALL (SELECT 'region', 'low_region', region, CAST(revenue AS DOUBLE)
          FROM m_region_sales ORDER BY revenue, region LIMIT 1)
+        UNION ALL (SELECT 'region', 'top_region_margin', region, CAST(profit AS DOUBLE) / CAST(revenue AS DOUBLE) * 100.0
+         FROM m_region_sales ORDER BY revenue DESC, region LIMIT 1)
         UNION ALL SELECT 'retention', CONCAT('month_', k), CAST(k AS VARCHAR),
             COALESCE((SELECT MAX(retention_rate) FROM m_retention WHERE cohort_index = k
                       AND cohort_month = (SELECT MIN(cohort_month) FROM m_retention)), 0.0) * 100.0

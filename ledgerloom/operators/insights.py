@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numbers import percent
 from .cohorts import first_cohort
 
 
@@ -51,8 +52,15 @@ def retention_facts(retention: DataFrame, months: tuple[int, ...] = (1, 3, 6)) -
     return rates.select(F.inline(F.array(*facts)))
 
 
+def _top_margin(by_region: DataFrame) -> DataFrame:
+    """Margin in percent of the region with the largest revenue; ties go to the smallest name."""
+    row = F.struct((-F.col("revenue")).alias("k"), F.col("region").alias("l"), percent("profit", "revenue").alias("margin"))
+    top = by_region.agg(F.min(F.when(F.col("revenue").isNotNull(), row)).alias("top"))
+    return top.select(*_fact("region", "top_region_margin", F.col("top.l"), F.col("top.margin")))
+
+
 def insights(monthly: DataFrame, by_category: DataFrame, by_region: DataFrame, retention: DataFrame) -> DataFrame:
-    """Peak and weak month, best and worst categories and regions, retention of the first cohort."""
+    """Peak and weak month, best and worst categories and regions, margin of the best region, first cohort."""
     months = monthly.withColumn("label", F.date_format("month_start", "yyyy-MM"))
     parts = [
         _extremes(months, "demand", "label", {"peak_month": ("revenue", True), "weak_month": ("revenue", False)}),
@@ -68,6 +76,7 @@ def insights(monthly: DataFrame, by_category: DataFrame, by_region: DataFrame, r
             },
         ),
         _extremes(by_region, "region", "region", {"top_region": ("revenue", True), "low_region": ("revenue", False)}),
+        _top_margin(by_region),
         retention_facts(retention),
     ]
     return reduce(DataFrame.unionByName, parts)

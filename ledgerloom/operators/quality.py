@@ -43,25 +43,43 @@ def check_foreign_key(child: DataFrame, parent: DataFrame, on: str, parent_key:
 
 
 def foreign_key_summary(links: dict[str, tuple[DataFrame, DataFrame, str]]) -> DataFrame:
-    """(link, orphan_keys, orphan_rows) for each named (child, parent, key)."""
-    parts = [
-        check_foreign_key(child, parent, on).agg(
-            F.lit(name).alias("link"),
-            F.count("*").alias("orphan_keys"),
-            F.coalesce(F.sum("n_rows"), F.lit(0)).alias("orphan_rows"),
-        )
-        for name, (child, parent, on) in links.items()
-    ]
+    """(link, orphan_keys, orphan_rows) for each named (child, parent, key).
+
+    Rows of a child are counted once per key column, however many parents that key is held against.
+    """
+    grouped: dict[tuple[int, str], list[str]] = {}
+    for name, (child, _, on) in links.items():
+        grouped.setdefault((id(child), on), []).append(name)
+    parts = []
+    for (_, on), names in grouped.items():
+        child = links[names[0]][0]
+        keys = child.filter(F.col(on).isNotNull()).groupBy(on).agg(F.count("*").alias("n_rows"))
+        for name in names:
+            known = links[name][1].select(F.col(on)).distinct().withColumn(f"has_{name}", F.lit(True))
+            keys = keys.join(known, on, "left")
+        facts = []
+        for name in names:
+            orphan = F.col(f"has_{name}").isNull()
+            facts += [F.count_if(orphan).alias(f"k_{name}"), F.coalesce(F.sum(F.when(orphan, F.col("n_rows"))), F.lit(0)).alias(f"r_{name}")]
+        rows = [F.struct(F.lit(n).alias("link"), F.col(f"k_{n}").alias("orphan_keys"), F.col(f"r_{n}").alias("orphan_rows")) for n in names]
+        parts.append(keys.agg(*facts).select(F.inline(F.array(*rows))))
     return reduce(DataFrame.unionByName, parts)
 
 
 def require_rows(df: DataFrame, what: str = "result") -> DataFrame:
-    """The frame itself, or an error when it has no rows."""
+    """The frame itself, or an error when it has no rows. Looks at once, so it is for frames that are cheap to begin."""
     if df.isEmpty():
         raise ValueError(f"no rows in {what}: check the source files")
     return df
 
 
+def require_count(counted: DataFrame, column: str, what: str = "result") -> DataFrame:
+    """A frame of counts that fails, when it is run, on a count of 0: no pass of its own."""
+    message = f"no rows in {what}: check the source files"
+    checked = F.when(F.col(column) > 0, F.col(column)).otherwise(F.raise_error(F.lit(message)).cast("long"))
+    return counted.withColumn(column, checked)
+
+
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """(table_name, row_count) of each table."""
     parts = [

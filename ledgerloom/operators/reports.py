@@ -210,10 +210,13 @@ def _region_totals_starter(sales: DataFrame, orders: DataFrame, products: DataFr
     )
 
 
-def contribution(items: DataFrame, by: str = "category") -> DataFrame:
-    """Revenue, share of all revenue and margin per category (or other item column)."""
+def contribution(items: DataFrame, by: str = "category", few_rows: bool = False) -> DataFrame:
+    """Revenue, share of all revenue and margin per category (or other item column).
+
+    ``few_rows`` says that the column has few values, as in ``with_share``.
+    """
     totals = _line_totals(items.filter(F.col(by).isNotNull()), [by])
-    return with_share(totals, "revenue", "revenue_share_pct", few_rows=True).withColumn(
+    return with_share(totals, "revenue", "revenue_share_pct", few_rows=few_rows).withColumn(
         "profit_margin_pct", percent("profit", "revenue")
     )
 
@@ -252,6 +255,11 @@ def item_product_totals(items: DataFrame, products: DataFrame) -> DataFrame:
     totals = items.groupBy("product_id").agg(
         sum_or_zero("total_revenue").alias("total_revenue"), F.sum("quantity").alias("total_units")
     )
+    return with_product(totals, products)
+
+
+def with_product(totals: DataFrame, products: DataFrame) -> DataFrame:
+    """Product totals with name, category and profit."""
     attributes = products.select("product_id", "product_name", "category", "unit_cost")
     cost = F.col("total_units") * F.col("unit_cost")
     return totals.join(attributes, "product_id", "left").withColumn(
@@ -260,13 +268,25 @@ def item_product_totals(items: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def top_products_by_status(
-    items: DataFrame, orders: DataFrame, products: DataFrame, status: str | None = "Delivered", n: int = 20
+    items: DataFrame,
+    orders: DataFrame,
+    products: DataFrame,
+    status: str | None = "Delivered",
+    n: int = 20,
+    by: str = "total_revenue",
 ) -> DataFrame:
-    """Best products by revenue over orders of one status."""
-    totals = item_product_totals(items_by_status(items, orders, status), products)
-    return top_k(
-        totals.withColumnRenamed("total_units", "units_sold"), n, [F.desc("total_revenue"), F.asc("product_id")]
-    )
+    """Best products by ``by`` (total_revenue or total_profit) over orders of one status.
+
+    By revenue, products are joined once the best are known.
+    """
+    sold = items_by_status(items, orders, status)
+    order = [F.desc_nulls_last(by), F.asc("product_id")]
+    if by == "total_revenue":
+        revenue = sold.groupBy("product_id").agg(sum_or_zero("total_revenue").alias("total_revenue"), F.sum("quantity").alias("total_units"))
+        totals = with_product(top_k(revenue, n, order), products).orderBy(*order)
+    else:
+        totals = top_k(item_product_totals(sold, products), n, order)
+    return totals.withColumnRenamed("total_units", "units_sold")
 
 
 def top_products_all(items: DataFrame, products: DataFrame, n: int = 10) -> DataFrame:
@@ -391,7 +411,6 @@ def kpis_starter(sales: DataFrame, orders: DataFrame, products: DataFrame) -> Da
 
 
 
-
 def _measures() -> dict[str, Column]:
     revenue, cost = F.sum("revenue"), sum_or_zero("cost")
     return {
@@ -409,12 +428,46 @@ def _measures() -> dict[str, Column]:
 def measures(
     sales: DataFrame, orders: DataFrame, products: DataFrame, by: Sequence[str], names: Sequence[str] | None = None
 ) -> DataFrame:
-    """Dashboard measures per any order columns. Orders without sales count as orders."""
-    rows = orders.join(order_totals(sales, products), "order_id", "left")
+    """Dashboard measures per any columns of orders and products.
+
+    Over order columns alone, orders without sales count as orders. With a product column (say the
+    category) an order counts in each group it has a line in.
+    """
+    of_product = [c for c in by if c not in orders.columns]
+    if of_product:
+        lines = sales.join(products.select("product_id", "unit_cost", *of_product), "product_id")
+        cost = or_zero("unit_cost") * F.col("quantity")
+        sums = [F.sum("revenue").alias("revenue"), F.sum("quantity").alias("units"), F.sum(cost).alias("cost")]
+        rows = orders.join(lines.groupBy("order_id", *of_product).agg(*sums), "order_id")
+    else:
+        rows = orders.join(order_totals(sales, products), "order_id", "left")
     chosen = {k: v for k, v in _measures().items() if names is None or k in names}
     return rows.groupBy(*by).agg(*[c.alias(name) for name, c in chosen.items()])
 
 
+def measures_enterprise(orders: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Dashboard measures per any columns of enriched orders (one row per order)."""
+    revenue, profit = F.sum("order_revenue"), F.sum("order_profit")
+    return orders.groupBy(*by).agg(
+        revenue.alias("revenue"),
+        profit.alias("profit"),
+        F.count("order_id").alias("orders"),
+        ratio(profit, revenue).alias("margin"),
+        ratio(revenue, F.count("order_id")).alias("aov"),
+    )
+
+
+def monthly_by_dimension(sales: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
+    """Revenue per month and region and per month and category, from one pass over the lines."""
+    lines = sales.join(products.select("product_id", "category"), "product_id", "left")
+    per_order = lines.groupBy("order_id", "category").agg(F.sum("revenue").alias("revenue"))
+    dated = per_order.join(orders.select("order_id", month_start("order_date").alias("month_start"), "region"), "order_id")
+    cube = dated.groupBy("month_start", "region", "category").agg(F.sum("revenue").alias("revenue"))
+    sides = F.array(*[F.struct(F.lit(c).alias("dimension"), F.col(c).alias("value_name")) for c in ("region", "category")])
+    rows = cube.select("month_start", "revenue", F.inline(sides))
+    return rows.groupBy("month_start", "value_name", "dimension").agg(F.sum("revenue").alias("revenue"))
+
+
 def total_cost(sales: DataFrame, products: DataFrame) -> DataFrame:
     """Cost of goods per product: units sold times the related unit cost."""
     totals = product_totals(sales).join(products.select("product_id", "unit_cost"), "product_id", "left")

@@ -7,6 +7,7 @@ tables and reports use it, and a lost executor costs one stage, not the run.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.dates import month_start
 from ..operators import clean, cohorts, forecast, insights, model, recommend, reports, rfm
@@ -58,7 +59,7 @@ def analyse(
 
     trend = reports.monthly_trend(orders, status)
     monthly = small("monthly_trend", trend.withColumnRenamed("month_start", "order_date").orderBy("order_date"))
-    categories = small("profit_by_category", reports.profit_by_category(tables["fct_order_items"]))
+    categories = small("profit_by_category", reports.profit_by_category(tables["fct_order_items"]).orderBy(F.desc_nulls_last("profit"), "category"))
     retention = cohorts.cohort_retention(orders, status).withColumnRenamed("customers", "customer_id")
     cohort_rows = small(
         "customer_retention_cohorts",
@@ -75,10 +76,10 @@ def analyse(
     predicted = forecast.with_forecast_index(forecast.forecast_revenue(months, periods)).drop("method")
     future = small("sales_forecast", predicted.orderBy("month"))
 
-    export = rfm.rfm_crm(orders, customers, reference_date, status)
+    export = rfm.rfm_crm(orders, customers, reference_date, status, ordered=True)
     paths["crm_rfm_export"] = sinks.write_report(export, folder, "crm_rfm_export")
     scored = files.read_report(spark, folder, "crm_rfm_export")
-    small("crm_rfm_summary", rfm.rfm_summary(scored))
+    small("crm_rfm_summary", rfm.rfm_summary(scored).orderBy(F.desc("revenue"), "rfm_segment"))
 
     regions = reports.region_sales(orders)
     retained = cohort_rows.withColumnRenamed("customer_id", "customers")
