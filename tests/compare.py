@@ -11,7 +11,9 @@ import duckdb
 ROOT = Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents", "benchmark", "conversations",
+)
 KINDS = {
     "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN",
 }

@@ -110,7 +110,7 @@ def test_forecast_index(rows):
 
 def test_insights(monthly, rows):
     categories = rows.frame(CATEGORIES, "category STRING, revenue DOUBLE, profit DOUBLE, profit_margin_pct DOUBLE")
-    regions = rows.frame([("South", 1919197180.79), ("Unknown", 8241037.25), ("East", 5e8)], "region STRING, revenue DOUBLE")
+    regions = rows.frame([("South", 1919197180.79, 649648245.7), ("Unknown", 8241037.25, 1.0), ("East", 5e8, 2.0)], "region STRING, revenue DOUBLE, profit DOUBLE")
     retention = rows.frame([(date(m), *r) for m, *r in COHORTS], "cohort_month DATE, cohort_index INT, customers BIGINT, cohort_size BIGINT, retention_rate DOUBLE")
     facts = {r["name"]: (r["label"], round(r["value"], 2)) for r in insights.insights(monthly, categories, regions, retention).collect()}
     assert facts["peak_month"] == ("2025-12", 429045348.98)
@@ -118,6 +118,7 @@ def test_insights(monthly, rows):
     assert facts["most_profitable"] == ("Electronics", 1625934342.31)
     assert facts["lowest_margin"] == ("Beauty", 31.39)
     assert facts["top_region"] == ("South", 1919197180.79)
+    assert facts["top_region_margin"] == ("South", 33.85)
     assert facts["low_region"] == ("Unknown", 8241037.25)
     assert (facts["month_1"][1], facts["month_3"][1], facts["month_6"][1]) == (16.76, 19.6, 19.12)
     future = rows.frame([(date(m), v) for m, v, _ in FORECAST], "month DATE, forecast_revenue DOUBLE")

@@ -42,6 +42,16 @@ def test_no_window_gathers_customers_or_products(spark, no_broadcast, name):
         assert re.search(r"windowspecdefinition\((customer_id|product_id)#|_size#", node), node
 
 
+def test_scores_take_one_slim_checkpoint(spark, no_broadcast, monkeypatch):
+    """Before the checkpoint: no window over all rows, and only key, column number and value are sorted."""
+    seen = []
+    whole = ranking.global_row_number
+    monkeypatch.setattr(ranking, "global_row_number", lambda df, *a: seen.append(df) or whole(df, *a))
+    catalog.run("rfm_sql", spark, FOLDER)
+    (slim,) = seen
+    assert slim.columns == ["customer_id", "_of", "_value"] and "Window" not in plan(slim)
+
+
 def test_filters_and_columns_reach_the_scan(spark):
     text = plan(catalog.run("monthly_trend_delivered", spark, FOLDER))
     assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(o_orderstatus,F\)", text)

@@ -3,14 +3,15 @@
 import datetime as dt
 import json
 from decimal import Decimal as D
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom import schemas
 from ledgerloom.operators import clean, quality
-from ledgerloom.plans import batch
-from ledgerloom.session import scratch_path, shared_dir
+from ledgerloom.plans import batch, catalog
+from ledgerloom.session import clean_scratch, scratch_path, shared_dir
 from ledgerloom.sources import files, jdbc, sinks
 
 PRODUCTS = '﻿"product_id","product_name","category","unit_price","unit_cost"\n"P1","Mug, large","Home","62.09","31.00"\n"P2","Say ""hi""","Home","27",""\n'
@@ -125,7 +126,17 @@ def test_batch_run(spark, rows, raw_folder, tmp_path):
     assert export.count() == 3 and export.columns[0] == "customer_id" and len(export.columns) == 16
     summary = files.read_report(spark, f"{out}/reports", "crm_rfm_summary")
     assert summary.agg(F.sum("customers")).first()[0] == 3
-    assert spark.read.option("header", True).csv(paths["insights"]).count() == 13
+    assert spark.read.option("header", True).csv(paths["insights"]).count() == 14
+
+    # the order of the written reports
+    def written(name, *columns):
+        return rows(files.read_report(spark, f"{out}/reports", name).select(*columns))
+
+    assert written("profit_by_category", "profit") == sorted(written("profit_by_category", "profit"), reverse=True)
+    assert written("crm_rfm_summary", "revenue") == sorted(written("crm_rfm_summary", "revenue"), reverse=True)
+    assert written("crm_rfm_export", "priority", "monetary") == sorted(written("crm_rfm_export", "priority", "monetary"), key=lambda r: (r[0], -r[1]))
+    for name, key in (("monthly_trend", "order_date"), ("sales_forecast", "month"), ("customer_retention_cohorts", "cohort_month")):
+        assert written(name, key) == sorted(written(name, key))
     # processed months are laid out so that a month filter reads one folder
     months = spark.read.parquet(f"{out}/processed/fct_sales").filter("order_month = '2024-03'")
     assert "PartitionFilters: [isnotnull(order_month" in months._jdf.queryExecution().executedPlan().toString()
@@ -144,6 +155,25 @@ def test_source_falls_back_to_files(spark, rows, tmp_path):
     assert rows(jdbc.read_any(spark, None, str(tmp_path), ("dim_products",))["dim_products"]) == rows(df)
 
 
+def test_database_tables_are_read_in_parts(spark):
+    with pytest.raises(ValueError, match="no processed tables nothing"):
+        jdbc.read_any(spark, "jdbc:x", "", ("nothing",))
+    with pytest.raises(ValueError, match="no split column for fct_orders"):
+        jdbc.read_any(spark, "jdbc:x", "", ("fct_orders",))
+
+
+def test_whole_numbers_may_be_written_as_decimals(spark, rows, tmp_path):
+    path = write(tmp_path / "q.csv", "k,q\na,2.0\nb,2\nc,\nd,-3.00\n")
+    assert rows(files.read_csv(spark, path, "k STRING, q INT")) == [("a", 2), ("b", 2), ("c", None), ("d", -3)]
+    path = write(tmp_path / "bad.csv", "k,q\na,2.5\n")
+    with pytest.raises(Exception, match="not a whole number"):
+        files.read_csv(spark, path, "k STRING, q INT").collect()
+    assert rows(files.read_csv(spark, path, "k STRING, q INT", strict=False)) == [("a", None)]
+    path = write(tmp_path / "text.csv", "k,q\na,x2\n")
+    with pytest.raises(Exception):
+        files.read_csv(spark, path, "k STRING, q INT").collect()
+
+
 def test_jdbc_options():
     assert jdbc.jdbc_options("jdbc:x", "t", batchsize=5000) == {"url": "jdbc:x", "dbtable": "t", "batchsize": "5000"}
     assert jdbc.split_options(None, 1, 2, 3) == {}
@@ -152,6 +182,14 @@ def test_jdbc_options():
         jdbc.write_jdbc({}, "jdbc:x", if_exists="merge")
 
 
+@pytest.mark.parametrize("name", ["rfm_sql", "sink_processed", "recommendations", "bulk_load_csv"])
+def test_scratch_is_deleted(spark, name):
+    catalog.run(name, spark, "/root/testdata/sf0.001").collect()
+    clean_scratch(spark)
+    left = [p for p in Path(shared_dir(spark)).rglob("*") if p.is_file()]
+    assert left == [] and [t for t in spark.catalog.listTables() if t.name.startswith("load_")] == []
+
+
 def test_shared_folder_comes_from_the_session(spark):
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert shared_dir(spark) == named

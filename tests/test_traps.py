@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import dates, lookups, numbers
-from ledgerloom.operators import clean, cohorts, forecast, model, quality, reports, rfm, timeseries
+from ledgerloom.operators import clean, cohorts, forecast, model, quality, ranking, reports, rfm, timeseries
 
 
 def day(text):
@@ -296,6 +296,49 @@ def test_quality_checks(rows):
         quality.require_rows(df.filter("k > 9"))
 
 
+def test_counts_of_zero_fail_when_run(rows):
+    df = rows.frame([(1,)], "k INT")
+    counted = lambda d: quality.require_count(d.agg(F.count("*").alias("n")), "n", "the join")
+    assert rows(counted(df)) == [(1,)]
+    empty = counted(df.filter("k > 9"))  # nothing happens yet
+    with pytest.raises(Exception, match="no rows in the join"):
+        empty.collect()
+
+
+def test_foreign_keys_counted_once_per_column(rows):
+    child = rows.frame([(1, 7), (1, 8), (2, 7), (None, 9)], "k INT, v INT")
+    links = {
+        "a": (child, rows.frame([(1,), (1,)], "k INT"), "k"),
+        "b": (child, rows.frame([(2,)], "k INT"), "k"),
+        "c": (child, rows.frame([], "v INT"), "v"),
+    }
+    assert sorted(rows(quality.foreign_key_summary(links))) == [("a", 1, 1), ("b", 1, 2), ("c", 3, 4)]
+
+
+def test_measures_of_a_product_column(rows):
+    sales = rows.frame([("o1", "p", 1, D("5.00")), ("o1", "q", 2, D("8.00")), ("o2", "p", 1, D("5.00"))], "order_id STRING, product_id STRING, quantity INT, revenue DECIMAL(14,2)")
+    products = rows.frame([("p", "mugs", D("2.00")), ("q", "pens", None)], "product_id STRING, category STRING, unit_cost DECIMAL(12,2)")
+    orders = rows.frame([("o1", "N"), ("o2", "S"), ("o3", "S")], "order_id STRING, region STRING")
+    by = reports.measures(sales, orders, products, ["category"], ["total_orders", "total_units", "total_profit"])
+    assert rows(by, "category") == [("mugs", 2, 2, D("6.00")), ("pens", 2, 1, D("8.00"))] or rows(by, "category") == [
+        ("mugs", 2, 2, D("6.0000")), ("pens", 2, 1, D("8.0000"))]
+    both = reports.measures(sales, orders, products, ["region", "category"], ["total_orders"])
+    assert rows(both, "region", "category") == [("N", "mugs", 1), ("N", "pens", 1), ("S", "mugs", 1)]
+
+
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_buckets_of_many_ties(spark, rows, partitions):
+    """NTILE and quantile buckets of a frame of one value, of nulls, and of few rows."""
+    for n in (1, 4, 5, 23):
+        df = spark.range(0, n, 1, partitions).select("id", F.lit(3).alias("same"), F.when(F.col("id") > 2, -F.col("id")).alias("v"))
+        out = rows(ranking.global_scores(df, "id", ["same", "v"], ranking.ntile_of), "id")
+        sizes = [n // 5 + (k < n % 5) for k in range(5)]
+        assert [sum(r[3] == k + 1 for r in out) for k in range(5)] == sizes
+        assert [r[3] for r in out] == sorted(r[3] for r in out)  # ties by key
+        place = sorted(out, key=lambda r: (r[2] is None, r[2] or 0, r[0]))
+        assert [r[4] for r in place] == sorted(r[4] for r in out)
+
+
 def test_slicers_and_display(rows):
     df = rows.frame([(day("2023-12-31"), "N"), (day("2024-01-01"), "N"), (day("2024-12-31"), "S")], "order_date DATE, region STRING")
     assert clean.slice_rows(df, year=2024).count() == 2
