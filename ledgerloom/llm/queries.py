@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import chat, classifier, decontaminate, jaccard, language, lines, mixing, quality, secrets, suffixes
+from ledgerloom.llm.sql import ORACLES as ORACLES
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -78,4 +79,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chat_format": op9_chat_format,
     "op10_decontaminate": op10_decontaminate,
 }
-ORACLES: dict[str, str] = {}
