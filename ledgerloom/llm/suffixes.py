@@ -34,10 +34,11 @@ from ledgerloom.llm.store import kept
 
 #: Bytes of an anchor.
 ANCHOR = 32
-#: An anchor found more often is counted by hash.
-HOT = 4096
-#: Bytes of text in a block, and the number of buckets its suffixes are sorted in.
-BLOCK = 4 << 20
+#: An anchor found more often is counted by hash. So many stretches of text make 4.7 MB at most, which a
+#: task can sort as one block.
+HOT = 16_384
+#: Bytes of text in a block of several anchors, and the number of buckets its suffixes are sorted in.
+BLOCK = 2 << 20
 BUCKETS = 8
 #: A difference cover. Every number below 57 is a difference of two of these, modulo 57.
 COVER = 57
