@@ -10,8 +10,9 @@ Two sets of n and m shingles link when they share at least 3 (n + m) / 7 of them
   that linked sets must share some. Lists are read by families of sets that are known to be connected
   (see below). A list of more than ``LONG`` families is not paired; instead its sets list more
   shingles than they need, so that a linked pair shares a shingle with a short list all the same. Sets
-  for which that is not enough list all their shingles; pairs that might meet in long lists only are
-  then joined on them. So no link is lost, whatever the lists' lengths.
+  for which that is not enough list all their shingles, and of those the ones with the shortest lists,
+  as many as linked sets must share one of, are joined even where those lists are long. So no link is
+  lost, whatever the lists' lengths.
 * The boundary is where the counted cost of subsets exceeds that of lists.
 
 Families come from a cheap first round: sets that share one of their four smallest hashes are
@@ -35,13 +36,15 @@ from ledgerloom.llm.bits import bit_filter, passes
 from ledgerloom.llm.graph import components
 from ledgerloom.llm.native import digest
 from ledgerloom.llm.shingles import mixed, set_id, shingle_sets
-from ledgerloom.llm.store import kept
+from ledgerloom.llm.store import kept, small_batches
 
 SIZE = 5
 #: Smallest hashes of a set that the first round looks at.
 LOW = 4
 #: Most shingles of a set that may be treated as light.
 TINY = 12
+#: Most shingles of a set that lists all of them from the start.
+SHORT = 24
 #: Families that a list may hold and still be paired.
 LONG = 32
 
@@ -57,9 +60,12 @@ def prefix(n: int) -> int:
 
 
 def spare(n: int) -> int:
-    """Further shingles that a set lists from the start; linked sets share one more for each."""
+    """Further shingles that a set lists from the start; linked sets share one more for each.
+
+    Sets of up to ``SHORT`` shingles list all of them.
+    """
     p = prefix(n)
-    return min(n - p, 8 + 3 * p // 20)
+    return n - p if n <= SHORT else 8 + 3 * p // 20
 
 
 def subset_sizes(n: int) -> range:
@@ -82,20 +88,25 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sizes.append(len(own))
             low.append((own if len(own) <= TINY else own[:LOW]).view(np.int64))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("digest"), pa.array(sids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(low, pa.list_(pa.int64()))],
-            ["doc_id", "digest", "sid", "n", "low"],
+            [batch.column("doc_id"), batch.column("digest"), batch.column("tid"), pa.array(sids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(low, pa.list_(pa.int64()))],
+            ["doc_id", "digest", "tid", "sid", "n", "low"],
         )
 
 
+def _chosen(batch: pa.RecordBatch, wanted) -> pa.RecordBatch:
+    """The rows whose text is in a filter."""
+    return batch.filter(pa.array(passes(wanted.value, batch.column("tid").to_numpy())))
+
+
 def _sets(wanted):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, seen = wanted.value, set()
+        seen = set()
         for batch in batches:
-            raw, ends = utf8(batch.column("text"))
+            raw, ends = utf8(_chosen(batch, wanted).column("text"))
             sids, sets, size = [], [], 0
             for _, own in shingle_sets(raw, ends, SIZE):
                 sid = set_id(own)
-                if len(own) and sid not in seen and passes(bits, np.array([sid], np.int64))[0]:
+                if len(own) and sid not in seen:
                     seen.add(sid)
                     sids.append(sid)
                     sets.append(own.view(np.int64))
@@ -115,15 +126,21 @@ def _set_batch(sids: list, sets: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(sids, pa.int64()), lists], ["sid", "set"])
 
 
-def measure(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+def _text_filter(sets: DataFrame, sids: DataFrame):
+    """A filter of one text for each of some sets."""
+    return bit_filter(sets.join(sids.select("sid").distinct(), "sid", "left_semi").select("tid"))
+
+
+def measure(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
     """Pairs (a, b) of sets with n_a, n_b and the number of shingles they ``share``.
 
-    Only sets named by a pair leave their task. Pairs of a set that many pairs name are dealt to
+    Only texts whose set is named by a pair are read in full. Pairs of a set that many pairs name are dealt to
     several tasks, each with a copy of that set.
     """
     pairs = kept(pairs.select("a", "b").distinct())
     named = pairs.select(F.explode(F.array("a", "b")).alias("sid"))
-    sets = docs.select("text").mapInArrow(_sets(bit_filter(named)), "sid long, set array<long>")
+    sets = docs.mapInArrow(_sets(_text_filter(sets, named)), "sid long, set array<long>")
+    sets = sets.join(named.distinct(), "sid", "left_semi")
     sets = kept(sets.groupBy("sid").agg(F.first("set").alias("set")))
     parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / 64).cast("int").alias("parts"))
     first = sets.withColumnsRenamed({"sid": "a", "set": "set_a"}).join(parts, "a")
@@ -185,7 +202,7 @@ def choose_boundary(sets: DataFrame) -> int:
 
 
 def _listed(least_n: int, whole, some):
-    """Rows (token, sid): the first shingles of each set, or all of them for the sets in ``whole``.
+    """Rows (token, sid): the first shingles of each set, or all of them for the texts in ``whole``.
 
     With ``some``, first shingles that are not in that filter are left out.
     """
@@ -195,15 +212,16 @@ def _listed(least_n: int, whole, some):
         for batch in batches:
             raw, ends = utf8(batch.column("text"))
             tokens, sids, size = [], [], 0
-            for _, own in shingle_sets(raw, ends, SIZE):
+            is_whole = passes(whole.value, batch.column("tid").to_numpy()) if whole is not None else np.zeros(batch.num_rows, bool)
+            for row, own in shingle_sets(raw, ends, SIZE):
                 n = len(own)
                 if n < max(1, least_n):
                     continue
                 sid = set_id(own)
-                if sid in seen:
+                if sid in seen and not is_whole[row]:
                     continue
                 seen.add(sid)
-                if whole is None or not passes(whole.value, np.array([sid], np.int64))[0]:
+                if not is_whole[row]:
                     own = own[: prefix(n) + spare(n)]
                     if some is not None:
                         own = own[passes(some.value, own.view(np.int64))]
@@ -287,13 +305,13 @@ def _pair_families(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _tokens(whole):
-    """All shingles of the sets in ``whole``."""
+    """All shingles of the texts in ``whole``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw, ends = utf8(batch.column("text"))
+            raw, ends = utf8(_chosen(batch, whole).column("text"))
             for _, own in shingle_sets(raw, ends, SIZE):
-                if len(own) and passes(whole.value, np.array([set_id(own)], np.int64))[0]:
+                if len(own):
                     yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64))], ["token"])
 
     return run
@@ -306,7 +324,7 @@ def _lists(docs: DataFrame, families: DataFrame, least_n: int, whole, some) -> D
         rows = rows.repartition("token").sortWithinPartitions("token", holder)
         return rows.mapInArrow(_shared, f"token long, {holder} long")
 
-    held = gathered(docs.select("text").mapInArrow(_listed(least_n, whole, some), "token long, sid long"), "sid")
+    held = gathered(docs.mapInArrow(_listed(least_n, whole, some), "token long, sid long"), "sid")
     held = held.join(families, F.col("sid") == F.col("node"), "left")
     held = gathered(held.select("token", F.coalesce("label", "sid").alias("family")), "family")
     return kept(held.mapInArrow(_pair_families, "a long, b long, times long, long long"))
@@ -318,9 +336,10 @@ def _candidates(docs: DataFrame, sets: DataFrame, families: DataFrame, least_n:
     first = (n - F.floor((3 * n + 3) / 4) + 1).cast("long")
     own = sets.where(n >= max(1, least_n)).join(families, F.col("sid") == F.col("node"), "left")
     own = own.select("sid", F.coalesce("label", "sid").alias("family"), "n", first.alias("p"))
-    some = F.least(F.col("n") - F.col("p"), 8 + F.floor(3 * F.col("p") / 20))
+    rest = F.col("n") - F.col("p")
+    some = F.when(F.col("n") <= SHORT, rest).otherwise(8 + F.floor(3 * F.col("p") / 20))
     stats = kept(own.groupBy("family").agg(
-        F.min(some).alias("some"), F.min(F.col("n") - F.col("p")).alias("all"), F.min("n").alias("least"), F.max("n").alias("most"),
+        F.min(some).alias("some"), F.min(rest).alias("all"), F.min("n").alias("least"), F.max("n").alias("most"), F.max("p").alias("p"),
     ))
     found = _lists(docs, families, least_n, None, None)
     whole = None  # families whose sets list all their shingles
@@ -332,22 +351,27 @@ def _candidates(docs: DataFrame, sets: DataFrame, families: DataFrame, least_n:
         else:
             slack = slack.withColumn("is_whole", F.lit(None).cast("boolean"))
         listed = F.when(F.col("is_whole"), F.col("all")).otherwise(F.col("some"))
-        slack = kept(slack.select("family", "least", "most", "is_whole", (listed - F.coalesce("hit", F.lit(0))).alias("slack")))
+        hit = F.coalesce("hit", F.lit(0))
+        missing = F.col("p") - (F.col("least") - hit)  # first shingles that only long lists have
+        slack = kept(slack.select("family", "least", "most", "is_whole", (listed - hit).alias("slack"), missing.alias("missing")))
         more = slack.where((F.col("slack") < 0) & F.col("is_whole").isNull()).select("family")
         if more.isEmpty():
             break
         whole = kept(more if whole is None else whole.union(more))
-        named = bit_filter(own.join(whole, "family", "left_semi").select("sid"))
-        tokens = bit_filter(docs.select("text").mapInArrow(_tokens(named), "token long"))
+        named = _text_filter(sets, own.join(whole, "family", "left_semi"))
+        tokens = bit_filter(docs.mapInArrow(_tokens(named), "token long"))
         found = kept(found.union(_lists(docs, families, least_n, named, tokens)))
     pairs = found.where("long = 0").groupBy("a", "b").agg(F.sum("times").alias("times"))
-    hard = slack.where("slack < 0").select("family")
+    hard = slack.where("slack < 0 AND missing > 0").select("family", "missing")
     if not hard.isEmpty():
-        theirs = hits.join(hard, "family", "left_semi").select(F.col("family").alias("x"), "token")
-        met = hits.join(theirs, "token").where(F.col("x") != F.col("family"))
-        met = met.select(F.least("x", "family").alias("a"), F.greatest("x", "family").alias("b")).distinct()
+        length = hits.groupBy("token").agg(F.count("*").alias("length"))
+        theirs = hits.join(hard, "family").join(length, "token")
+        rarest = F.row_number().over(Window.partitionBy("family").orderBy("length", "token"))
+        theirs = kept(theirs.withColumn("rank", rarest).where(F.col("rank") <= F.col("missing")).select("token", "family"))
+        met = theirs.join(theirs.withColumnRenamed("family", "x"), "token").where(F.col("family") < F.col("x"))
+        met = met.select(F.col("family").alias("a"), F.col("x").alias("b")).distinct()
         pairs = pairs.union(met.withColumn("times", F.lit(1 << 40))).groupBy("a", "b").agg(F.sum("times").alias("times"))
-    side = slack.drop("is_whole")
+    side = slack.drop("is_whole", "missing")
     for end in ("a", "b"):
         pairs = pairs.join(side.select(F.col("family").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in ("least", "most", "slack")]), end)
     enough = F.col("times") >= 1 + F.greatest(F.lit(0), F.least("slack_a", "slack_b"))
@@ -359,11 +383,11 @@ def _distance() -> Column:
     return 1 - F.col("share") / (F.col("n_a") + F.col("n_b") - F.col("share"))
 
 
-def _family_links(docs: DataFrame, families: DataFrame, candidates: DataFrame) -> list[DataFrame]:
+def _family_links(docs: DataFrame, sets: DataFrame, families: DataFrame, candidates: DataFrame) -> list[DataFrame]:
     """Links that connect those candidate families that hold a linked pair."""
     if candidates.isEmpty():
         return []
-    asked = kept(measure(docs, candidates))
+    asked = kept(measure(docs, sets, candidates))
     out = [asked.where(linked()).select("a", "b")]
     open_pairs = kept(asked.where(~linked()).select("a", "b"))
     both = open_pairs.select(F.col("a").alias("own"), F.col("b").alias("other"))
@@ -373,7 +397,7 @@ def _family_links(docs: DataFrame, families: DataFrame, candidates: DataFrame) -
     if asks.isEmpty():
         return out
     # Members against the first set of the other family, and against their own for the triangle.
-    told = measure(docs, asks.select(F.col("other").alias("a"), F.col("m").alias("b")).union(asks.select(F.col("own").alias("a"), F.col("m").alias("b"))))
+    told = measure(docs, sets, asks.select(F.col("other").alias("a"), F.col("m").alias("b")).union(asks.select(F.col("own").alias("a"), F.col("m").alias("b"))))
     told = kept(told.withColumn("d", _distance()))
     out.append(told.where(linked()).select("a", "b"))
     near = told.select(F.col("a").alias("to"), F.col("b").alias("m"), "d")
@@ -389,7 +413,7 @@ def _family_links(docs: DataFrame, families: DataFrame, candidates: DataFrame) -
     rest = left.join(right, ["a", "b"]).where(may & (F.col("a") < F.col("b"))).select(F.col("ma").alias("a"), F.col("mb").alias("b"))
     rest = kept(rest.distinct())
     if not rest.isEmpty():
-        out.append(measure(docs, rest).where(linked()).select("a", "b"))
+        out.append(measure(docs, sets, rest).where(linked()).select("a", "b"))
     return out
 
 
@@ -403,10 +427,16 @@ def link_documents(docs: DataFrame) -> DataFrame:
     their text; repeated ids and repeated rows get a row each. Other columns are ignored. An empty
     table gives no rows. Shingles and sets are told apart by 64-bit hashes.
     """
+    with small_batches(docs.sparkSession):
+        return _link(docs)
+
+
+def _link(docs: DataFrame) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
-    described = docs.select("doc_id", digest(F.col("text")).alias("digest"), "text")
-    info = kept(described.mapInArrow(_describe, f"doc_id {kind}, digest binary, sid long, n long, low array<long>"))
-    sets = kept(info.where("n > 0").groupBy("sid").agg(F.max("n").alias("n"), F.first("low").alias("low")))
+    described = docs.select("doc_id", digest(F.col("text")).alias("digest"), F.xxhash64("text").alias("tid"), "text")
+    info = kept(described.mapInArrow(_describe, f"doc_id {kind}, digest binary, tid long, sid long, n long, low array<long>"))
+    sets = kept(info.where("n > 0").groupBy("sid").agg(F.max("n").alias("n"), F.min("tid").alias("tid"), F.first("low").alias("low")))
+    docs = docs.select(F.xxhash64("text").alias("tid"), "text").where(F.col("text").isNotNull())
     boundary = choose_boundary(sets)
     least_n = -(-3 * boundary // 4)
     links = [light_links(sets, boundary)]
@@ -414,11 +444,11 @@ def link_documents(docs: DataFrame) -> DataFrame:
     starts = sets.where(F.col("n") >= least_n).select("sid", "n", F.explode(F.slice("low", 1, LOW)).alias("token"))
     least = starts.groupBy("token").agg(F.min(F.struct("sid", "n")).alias("x"), F.count("*").alias("c")).where("c > 1")
     met = starts.join(least, "token").where((F.col("sid") != F.col("x.sid")) & (4 * F.col("n") >= 3 * F.col("x.n")) & (4 * F.col("x.n") >= 3 * F.col("n")))
-    links.append(measure(docs, met.select(F.col("x.sid").alias("a"), F.col("sid").alias("b"))).where(linked()).select("a", "b"))
+    links.append(measure(docs, sets, met.select(F.col("x.sid").alias("a"), F.col("sid").alias("b"))).where(linked()).select("a", "b"))
     links = [kept(links[0].union(links[1]))]
     families = components(links[0])
 
-    links += _family_links(docs, families, _candidates(docs, sets, families, least_n))
+    links += _family_links(docs, sets, families, _candidates(docs, sets, families, least_n))
     for more in links[1:]:
         links[0] = links[0].union(more)
     final = components(links[0]) if len(links) > 1 else families

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.session import shared_dir
 
@@ -11,3 +14,15 @@ def kept(df: DataFrame) -> DataFrame:
     """A checkpoint in the folder that the session names."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Fewer rows to an Arrow batch while jobs run inside, so that a batch of texts takes little memory."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
