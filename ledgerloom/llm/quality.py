@@ -1,8 +1,8 @@
 """Quality rules with DataFrame functions only: counts of a text, and lines that too many documents share.
 
-Lines are normalised and hashed; per host, the distinct documents of each line are counted. Lines in
-more documents than the limit are boilerplate and removed; a document of which too little is left is
-rejected.
+Lines are normalised and hashed; per host, the distinct documents of each line are counted, near copies
+of one document as one. Lines in more documents than the limit are boilerplate and removed; a document of
+which too little is left is rejected.
 """
 
 from __future__ import annotations
@@ -11,9 +11,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.native import apart, let, words
+from ledgerloom.llm.store import kept
 
 #: Hot lines meet the lines of documents in so many parts.
 PARTS = 16
+#: Hashes that stand for a text when near copies are told from other documents.
+SKETCH = 8
 
 
 def repeated_words(w: Column, size: int = 3) -> Column:
@@ -58,10 +61,7 @@ def normal_line(line: Column) -> Column:
 
 
 def line_rows(docs: DataFrame, key: list[str]) -> DataFrame:
-    """(key, pos, chars, line, around) of each line with a letter; line and around are hashes.
-
-    ``around`` stands for the nearest such lines before and after.
-    """
+    """(key, pos, chars, line) of each line with a letter; line is a hash."""
     placed = F.filter(
         F.transform(
             F.split("text", "\n", -1),
@@ -70,21 +70,59 @@ def line_rows(docs: DataFrame, key: list[str]) -> DataFrame:
         ),
         lambda x: x["full"],
     )
-    beside = let(placed, lambda s: F.transform(s, lambda x, k: F.struct(
-        x["pos"].alias("pos"), x["chars"].alias("chars"), x["line"].alias("line"),
-        F.xxhash64(F.get(s, k - 1)["line"], F.lit(0), F.get(s, k + 1)["line"]).alias("around"),
-    )))
-    return docs.select(*key, F.explode(beside).alias("l")).select(*key, "l.*")
+    return docs.select(*key, F.explode(placed).alias("l")).select(*key, "l.pos", "l.chars", "l.line")
+
+
+def in_parts(few: DataFrame) -> DataFrame:
+    return few.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+
+
+def part_of(fp: str = "fp") -> Column:
+    return F.pmod(fp, F.lit(PARTS)).cast("int")
+
+
+def common_lines(lines: DataFrame, most_docs: int) -> DataFrame:
+    """The rows of ``lines`` whose line more than ``most_docs`` distinct texts of its host hold."""
+    often = lines.groupBy("host", "line").agg(F.count_distinct("fp").alias("n")).where(F.col("n") > most_docs).drop("n")
+    return lines.withColumn("part", part_of()).join(in_parts(often), ["host", "line", "part"]).drop("part")
+
+
+def sketch(text: Column, common: Column) -> Column:
+    """The SKETCH smallest hashes of three words in a row in the lines of ``text`` that are not ``common``.
+
+    Where no word is left, the sketch is the hash of all lines in their order.
+    """
+    lines = F.split(text, "\n", -1)
+    rest = F.filter(lines, lambda x: ~F.array_contains(common, F.xxhash64(normal_line(x))))
+
+    def lowest(w: Column) -> Column:
+        runs = F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - 3, F.lit(0))), lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(3)]))
+        order = F.array(F.xxhash64(F.transform(lines, normal_line)))
+        return F.when(F.size(w) == 0, order).otherwise(F.slice(F.array_sort(F.array_distinct(runs)), 1, SKETCH))
+
+    return let(words(F.array_join(rest, "\n")), lowest)
 
 
-def hot_lines(lines: DataFrame, most_docs: int) -> DataFrame:
-    """(host, line) of the lines that more than ``most_docs`` distinct documents of a host hold.
+def hot_lines(found: DataFrame, texts: DataFrame, most_docs: int) -> DataFrame:
+    """(host, line) of the lines in ``found`` that more than ``most_docs`` distinct documents of a host hold.
 
-    Documents that hold a line between the same two neighbours count once, so that copies of one
-    document, exact or near, do not make its lines boilerplate.
+    ``found`` has the rows of common lines, ``texts`` (doc_id, fp, host, text) of all documents. Texts
+    that are near copies apart from common lines count as one document, so that copies do not make
+    their own lines boilerplate: their sketches agree but for one hash in SKETCH with that of the same text,
+    the least by hash of those that share a hash with them.
     """
-    once = lines.groupBy("host", "line", "around").agg(F.min("fp").alias("fp"))
-    return once.groupBy("host", "line").agg(F.count_distinct("fp").alias("n")).where(F.col("n") > most_docs).drop("n")
+    id = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id")
+    one = found.groupBy("host", "fp").agg(F.min(id).alias("id"), F.collect_set("line").alias("common"))
+    one = one.select(F.col("host").alias("_host"), F.col("fp").alias("_fp"), F.col("id.doc_id").alias("_id"), "common")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("fp") == F.col("_fp")) & (F.col("host") == F.col("_host"))
+    low = texts.join(one, same).select("host", "fp", sketch(F.col("text"), F.col("common")).alias("low"))
+    low = kept(low.select("host", "fp", part_of().alias("part"), "low", F.explode("low").alias("h")))
+    first = low.groupBy("host", "h").agg(F.min(F.struct("fp", "low")).alias("first"))
+    near = F.size(F.array_intersect("low", "first.low")) >= F.greatest(F.size("low"), F.size("first.low")) * (1 - 1 / SKETCH)
+    label = low.join(in_parts(first), ["host", "h", "part"]).where(near).groupBy("host", "fp").agg(F.min("first.fp").alias("label"))
+    held = found.select("host", "line", "fp").distinct().join(label, ["host", "fp"], "left")
+    n = F.count_distinct(F.coalesce("label", "fp")).alias("n")
+    return held.groupBy("host", "line").agg(n).where(F.col("n") > most_docs).drop("n")
 
 
 def judge(docs: DataFrame, host: str = "source", most_docs: int = 30, least_left: float = 0.3, least_chars: int = 200,
@@ -101,16 +139,15 @@ def judge(docs: DataFrame, host: str = "source", most_docs: int = 30, least_left
     """
     docs = docs.drop("base", "base_failed", "hot", "kept")
     fp = F.xxhash64(F.coalesce("text", F.lit("")))
-    lines = line_rows(docs.select("doc_id", "text", fp.alias("fp"), F.col(host).alias("host")), ["doc_id", "fp", "host"])
-    lines = lines.withColumn("host", F.coalesce(F.concat(F.lit("="), "host"), F.lit("")))
-    hot = hot_lines(lines, most_docs).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
-    parted = lines.drop("around").withColumn("part", F.pmod("fp", F.lit(PARTS)).cast("int"))
-    found = parted.join(hot, ["host", "line", "part"])
+    at = F.coalesce(F.concat(F.lit("="), F.col(host)), F.lit(""))
+    texts = docs.select("doc_id", "text", fp.alias("fp"), at.alias("host"))
+    found = kept(common_lines(line_rows(texts, ["doc_id", "fp", "host"]), most_docs))
+    hot = in_parts(hot_lines(found, texts, most_docs))
+    found = found.withColumn("part", part_of()).join(hot, ["host", "line", "part"])
     removed = found.groupBy(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"), F.col("host").alias("_host")).agg(
         F.collect_set(F.struct("pos", "chars")).alias("_cut")
     )
-    own = docs.select("*", base_counts(F.col("text")).alias("base"), fp.alias("_own"), F.length(F.coalesce("text", F.lit(""))).alias("_chars"),
-                      F.coalesce(F.concat(F.lit("="), F.col(host)), F.lit("")).alias("_at"))
+    own = docs.select("*", base_counts(F.col("text")).alias("base"), fp.alias("_own"), F.length(F.coalesce("text", F.lit(""))).alias("_chars"), at.alias("_at"))
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_fp")) & (F.col("_at") == F.col("_host"))
     left = F.col("_chars") - F.aggregate("_cut", F.lit(0), lambda a, x: a + x["chars"])
     depleted = F.coalesce((left < least_chars) | (left < least_left * F.col("_chars")), F.lit(False))

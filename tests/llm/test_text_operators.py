@@ -64,6 +64,22 @@ def test_quality_removes_lines_of_many_documents(spark):
     assert "ights" not in kept[5] and "ights" in kept[50] and len(kept[5].split("\n")) == 2
 
 
+def test_quality_removes_boilerplate_of_several_lines(spark):
+    rng = random.Random(4)
+    body = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(7)) for _ in range(n))
+    head, foot = [body(20) for _ in range(3)], [body(30) for _ in range(4)]
+    rows = [(i, "\n".join([*head, body(15), body(15), *foot]), "a") for i in range(40)]  # unlike documents: depleted
+    rows += [(100 + i, "\n".join([body(100), *foot[1:]]), "b") for i in range(40)]  # enough of their own is left
+    rows += [(200 + i, "\n".join([*head, body(15), *foot]), "c") for i in range(20)]  # a host with too few documents
+    copied = [body(30) for _ in range(5)]
+    rows += [(300 + i, "\n".join([*copied, copied[0] + " " + body(1)]), "a") for i in range(60)]  # near copies
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r["doc_id"]: (r["kept"], r["hot"]) for r in quality.judge(df).collect()}
+    assert all(got[i][0] is False and sorted(got[i][1]) == [0, 1, 2, 5, 6, 7, 8] for i in range(40))
+    assert all(got[100 + i][0] and sorted(got[100 + i][1]) == [1, 2, 3] for i in range(40))
+    assert all(got[200 + i] == (True, []) for i in range(20)) and all(got[300 + i] == (True, []) for i in range(60))
+
+
 def test_quality_edge_rows(spark, odd, empty):
     got = [tuple(r) for r in quality.quality_digest(quality.judge(odd)).collect()]
     same(got, brute.quality([(r[0], r[1], r[3]) for r in odd_docs()]))
