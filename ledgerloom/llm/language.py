@@ -17,12 +17,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.batches import pieces, utf8
+from ledgerloom.llm.batches import PIECE, pieces, utf8
 from ledgerloom.llm.store import kept
 
 #: Letters to lower case; digits, marks and blanks become one byte; bytes beyond ASCII stay.
 FOLD = np.array([b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256)], np.uint8)
 UNKNOWN = "und"
+#: Bytes of text, over the number of languages, that are scored at once by a model in parts: each is read anew for them.
+PARTS_PIECE = 32 << 20
 
 
 def grams(raw: np.ndarray, ends: np.ndarray, lo: int, hi: int, order: int) -> tuple[np.ndarray, np.ndarray]:
@@ -123,10 +125,43 @@ class Model:
         return out
 
 
-def freeze(langs: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarray, order: int) -> Model:
-    """The model of counted grams; ``lang`` holds positions in ``langs``."""
-    keys, costs, contexts, escapes = [], [], [], []
-    for k in range(order + 1):
+@dataclass
+class Parts:
+    """A model too large for one table: part i, a broadcast one, has the contexts whose near bytes are from ``starts[i]`` on."""
+
+    langs: list[str]
+    order: int
+    starts: np.ndarray
+    parts: list
+
+    def score(self, gram: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Code length of each text in each language; one part is in memory at a time."""
+        part = np.searchsorted(self.starts, near(gram), "right") - 1
+        by = np.argsort(part, kind="stable")
+        cuts = np.searchsorted(part[by], np.arange(len(self.parts) + 1))
+        row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+        out = np.zeros((len(offsets) - 1, len(self.langs)))
+        for i, shared in enumerate(self.parts):
+            own = by[cuts[i] : cuts[i + 1]]
+            if not len(own):
+                continue
+            out += Model(**shared.value).score(gram[own], np.searchsorted(row[own], np.arange(len(offsets))))
+            vars(shared).pop("_value", None)
+        return out
+
+
+def near(gram: np.ndarray) -> np.ndarray:
+    """The two bytes before a gram's last one."""
+    return (gram.astype(np.uint64) >> np.uint64(8)) & np.uint64(0xFFFF)
+
+
+def freeze(langs: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarray, order: int, below: Model | None = None) -> Model:
+    """The model of counted grams; ``lang`` holds positions in ``langs``.
+
+    ``below`` has what is known of shorter grams; without it, it is taken from ``gram`` too.
+    """
+    keys, costs, contexts, escapes = (list(x) for x in (below.keys, below.costs, below.contexts, below.escapes)) if below else ([], [], [], [])
+    for k in range(len(keys), order + 1):
         g = gram & np.uint64((1 << 8 * (k + 1)) - 1)
         key, row = np.unique(g, return_inverse=True)
         count = np.zeros((len(key), len(langs)))
@@ -157,35 +192,54 @@ def freeze(langs: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarray,
     return model
 
 
-def train(docs: DataFrame, order: int = 3, max_rows: int = 4_000_000) -> Model | None:
+def train(docs: DataFrame, order: int = 3, max_rows: int = 4_000_000) -> Model | Parts | None:
     """The model of all rows with a text and a lang; None if there is none.
 
-    Counts come from every text. The frozen table goes to all tasks, so its size is checked: while
-    it has more than ``max_rows`` rows, contexts get a byte shorter (of two bytes there are 65,536).
+    Counts come from every text. The frozen table goes to all tasks, so its size is checked: a table of
+    more than ``max_rows`` rows, or numbers (a gram has one for each language), goes in parts of at most so
+    many. The contexts that share their two near bytes stay together; of them there are 65,536 at most,
+    with 256 ** (order - 1) grams each. Code lengths are the same.
     """
     counted = kept(count_grams(docs, order))
-    while order > 1 and counted.count() > max_rows:
-        order -= 1
-        shorter = F.col("gram").bitwiseAND((1 << 8 * (order + 1)) - 1)
-        counted = counted.groupBy("lang", shorter.alias("gram")).agg(F.sum("n").alias("n"))
-    table = counted.toArrow()
-    if not table.num_rows:
+    names = sorted(r["lang"] for r in counted.select("lang").distinct().collect())
+    if not names:
         return None
-    names = sorted(set(table.column("lang").to_pylist()))
     place = {name: i for i, name in enumerate(names)}
-    lang = np.array([place[x] for x in table.column("lang").to_pylist()])
-    gram = table.column("gram").to_numpy().astype(np.uint64)
-    return freeze(names, lang, gram, table.column("n").to_numpy().astype(np.float64), order)
+
+    def table(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        got = rows.select("lang", "gram", "n").toArrow()
+        lang = np.array([place[x] for x in got.column("lang").to_pylist()])
+        return lang, got.column("gram").to_numpy().astype(np.uint64), got.column("n").to_numpy().astype(np.float64)
+
+    context = F.shiftrightunsigned("gram", 8).bitwiseAND(0xFFFF)
+    sizes = counted.groupBy(context.alias("near")).agg(F.count("*").alias("n"), F.count_distinct("gram").alias("grams")).collect()
+    sizes = sorted((r["near"], max(r["n"], r["grams"] * len(names))) for r in sizes)
+    if order < 2 or sum(n for _, n in sizes) <= max_rows:
+        return freeze(names, *table(counted), order)
+    starts, held = [0], 0
+    for value, n in sizes:
+        if held and held + n > max_rows:
+            starts.append(value)
+            held = 0
+        held += n
+    short = counted.groupBy("lang", F.col("gram").bitwiseAND(0xFFFF).alias("gram")).agg(F.sum("n").alias("n"))
+    below = freeze(names, *table(short), 1)
+    parts = []
+    for lo, hi in zip(starts, [*starts[1:], 1 << 16]):
+        own = freeze(names, *table(counted.where((context >= lo) & (context < hi))), order, below)
+        parts.append(docs.sparkSession.sparkContext.broadcast(vars(own)))
+    return Parts(names, order, np.array(starts, np.uint64), parts)
 
 
 def _predict(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model(**shared.value)
+        model = shared if isinstance(shared, Parts) else Model(**shared.value)
         names = np.array(model.langs, dtype=object)
+        limit = max(PIECE, PARTS_PIECE // len(names)) if isinstance(model, Parts) else PIECE
         for batch in batches:
             raw, ends = utf8(batch.column("text"))
             lang, score = [], []
-            for lo, hi in pieces(ends):
+            for lo, hi in pieces(ends, limit):
                 length = model.score(*grams(raw, ends, lo, hi, model.order))
                 best = length.argmin(axis=1)
                 lang.append(names[best])
@@ -199,7 +253,7 @@ def _predict(shared):
     return run
 
 
-def predict(docs: DataFrame, model: Model | None) -> DataFrame:
+def predict(docs: DataFrame, model: Model | Parts | None) -> DataFrame:
     """``docs`` with lang_pred and score, the posterior of the language under equal priors.
 
     Only ``text`` is read. Null text, a text without any letter, and an empty model give ``und``
@@ -208,7 +262,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     docs = docs.drop("lang_pred", "score")
     if model is None:
         return docs.select("*", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
-    shared = docs.sparkSession.sparkContext.broadcast(vars(model))
+    shared = model if isinstance(model, Parts) else docs.sparkSession.sparkContext.broadcast(vars(model))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     scored = docs.mapInArrow(_predict(shared), schema + ", lang_pred string, score double")
     known = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))

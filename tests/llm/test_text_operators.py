@@ -260,6 +260,21 @@ def test_code_lengths_are_exact(spark, order):
     assert np.allclose(got, want, rtol=1e-5)
 
 
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_a_model_in_parts_keeps_its_order(spark, sf_rows, order):
+    df = spark.createDataFrame([(d, t[:400], lang) for d, t, lang in sf_rows("documents", "doc_id", "text", "lang")], "doc_id long, text string, lang string")
+    learn = df.where("doc_id % 3 > 0")
+    whole, parts = language.train(learn, order), language.train(learn, order, max_rows=3000)
+    assert parts.order == order and len(parts.parts) > 2 and all(len(p.value["keys"][-1]) <= 3000 for p in parts.parts)
+    texts = [t[:400] for (t,) in sf_rows("documents", "text")] + ["", "Zebra 99 é € 本", "the der la"]
+    raw = np.frombuffer("".join(texts).encode(), np.uint8)
+    ends = np.cumsum([0] + [len(t.encode()) for t in texts])
+    grams = language.grams(raw, ends, 0, len(texts), order)
+    assert np.allclose(parts.score(*grams), whole.score(*grams), rtol=1e-12)
+    got, want = ({r["doc_id"]: r for r in language.predict(df, m).collect()} for m in (parts, whole))
+    assert all(got[d]["lang_pred"] == r["lang_pred"] and np.isclose(got[d]["score"], r["score"]) for d, r in want.items())
+
+
 def test_language_edge_rows(spark, odd, empty):
     model = language.train(spark.createDataFrame([("the cat", "en"), ("le chat", "fr"), (None, "de"), ("x", None)], "text string, lang string"))
     got = {(r["doc_id"], r["text"]): (r["lang_pred"], r["score"]) for r in language.predict(odd, model).collect()}
