@@ -122,6 +122,7 @@ def evidence(docs: DataFrame, labels: DataFrame, most_labels: int = 20_000) -> D
 
     ``docs`` has doc_id and text. Learns from at most ``most_labels`` labelled ids, the smallest by
     hash; they and their feature numbers pass through the driver, where the regression is fitted.
+    Of a repeated id it learns from one text, the smallest by hash, so that no more rows than ids get there.
     Without any labels all evidence is 0.5. An id labelled more than once counts with its worst
     labels; rows without a label in either aspect are left out.
     """
@@ -129,6 +130,7 @@ def evidence(docs: DataFrame, labels: DataFrame, most_labels: int = 20_000) -> D
     known = known.groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"), F.max("toxic").cast("int").alias("toxic"))
     known = kept(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_labels))
     learn = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(known), "doc_id")
+    learn = learn.groupBy("doc_id", *ASPECTS).agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text"))["text"].alias("text"))
     table = learn.select("text", *ASPECTS).mapInArrow(_learnt, "quality int, toxic int, f array<int>").orderBy(F.xxhash64("f"), "f", *ASPECTS).toArrow()
     lists = table.column("f").combine_chunks()
     f, at = lists.values.to_numpy().astype(np.int64), lists.offsets.to_numpy().astype(np.int64)

@@ -49,3 +49,11 @@ def test_shapes(text, bit):
     for k in kinds:
         total |= int(k)
     assert total == bit
+
+
+def test_a_repeated_id_is_learnt_from_once(spark, monkeypatch):
+    learnt, fit = [], classifier.fit
+    monkeypatch.setattr(classifier, "fit", lambda label, *how: learnt.append(len(label)) or fit(label, *how))
+    docs = spark.createDataFrame([(1, f"a text no {i} of the same id") for i in range(50)] + [(2, "another text")] * 3, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 1)], "doc_id long, quality int, toxic int")
+    assert classifier.evidence(docs, labels).count() == 53 and learnt == [2, 2]
