@@ -92,9 +92,32 @@ SELECT doc_id, {", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in BASE
        coalesce(spans, '') AS spans
 FROM d LEFT JOIN told USING (k)"""
 
+_BYTES = "list_transform(range(1, octet_length(encode(w)) + 1), lambda i: CAST('0x' || substr(hex(encode(w)), 2 * i - 1, 2) AS BIGINT))"
+RESAMPLE = f"""
+WITH rest AS (SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, i) ORDER BY i) AS x
+              FROM range(256) t(i)),
+d AS (SELECT row_number() OVER () AS k, doc_id, {_WORDS} AS w FROM documents),
+own AS (SELECT k, unnest(w) AS w FROM d),
+aim AS (SELECT unnest({_WORDS}) AS w FROM benchmark),
+known AS (SELECT w, xor(list_reduce({_BYTES}, lambda c, b: xor(c >> 8, rest.x[(xor(c, b) & 255) + 1]), CAST(4294967295 AS BIGINT)), 4294967295) % 10000 AS bucket
+          FROM (SELECT w FROM own UNION SELECT w FROM aim), rest),
+s AS (SELECT bucket, count(*) AS n FROM own JOIN known USING (w) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM aim JOIN known USING (w) GROUP BY bucket),
+gains AS (SELECT s.bucket, CAST(floor(1000 * ln(CAST(coalesce(t.n, 0) + 1 AS DOUBLE) * CAST((SELECT count(*) FROM own) + 10000 AS DOUBLE)
+                 / (CAST(s.n + 1 AS DOUBLE) * CAST((SELECT count(*) FROM aim) + 10000 AS DOUBLE)))) AS BIGINT) AS gain FROM s LEFT JOIN t USING (bucket)),
+weights AS (SELECT k, CAST(floor(sum(gain) / count(*)) AS BIGINT) AS weight FROM own JOIN known USING (w) JOIN gains USING (bucket) GROUP BY k),
+scored AS (SELECT k, doc_id, len(w) AS n, coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+                  (CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5) / 4294967296.0))) AS BIGINT) AS score
+           FROM d LEFT JOIN weights USING (k)),
+placed AS (SELECT k, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST) AS place, count(*) OVER () * 10 // 100 AS most FROM scored WHERE n >= 20)
+SELECT doc_id, CAST(n AS BIGINT) AS n_features, CAST(weight AS BIGINT) AS weight, CAST(score AS BIGINT) AS score,
+       CAST(CASE WHEN place <= most THEN place END AS BIGINT) AS rank
+FROM scored LEFT JOIN placed USING (k)"""
+
 ORACLES = {
     "op1_quality_rules": QUALITY,
     "op6_secret_scan": SECRETS,
     "op9_chat_format": CHATS,
     "op10_decontaminate": CONTAMINATION,
+    "op13_importance_resampling": RESAMPLE,
 }
