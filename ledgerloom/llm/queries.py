@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, classifier, decontaminate, jaccard, language, lines, mixing, quality, secrets, suffixes
+from ledgerloom.llm import chat, classifier, decontaminate, jaccard, language, lines, minhash, mixing, periodic, quality, resample, secrets, suffixes
 from ledgerloom.llm.sql import ORACLES as ORACLES
 
 
@@ -67,6 +67,21 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contamination_digest(decontaminate.mark_contaminated(docs, table(spark, folder, "benchmark")))
 
 
+def op11_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    linked = minhash.link_documents(table(spark, folder, "documents").select("doc_id", "text"))
+    return linked.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", periodic.looped(F.col("doc_id"), F.col("text")).alias("text"))
+    return periodic.runs_digest(periodic.mark_runs(docs))
+
+
+def op13_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    scored = resample.score(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "benchmark"))
+    return resample.rank(scored).select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_jaccard_join": op2_jaccard_join,
@@ -78,4 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_chat_format": op9_chat_format,
     "op10_decontaminate": op10_decontaminate,
+    "op11_minhash_dedup": op11_minhash_dedup,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_importance_resampling": op13_importance_resampling,
 }
