@@ -6,12 +6,15 @@ agrees. Two sets of a similarity of 0.8 miss each other in all bands with a chan
 
 * Equal sets are one set from the start.
 * Sets of one key meet the key's first set only (a star, no pairs among themselves). The share of equal minima
-  estimates their similarity; those that may link are confirmed on their full sets, first each set
-  with its most similar star, then what is still in different components.
-* What is left are keys whose sets are in several components. There, sets outside the key's largest component meet
-  the others. Where that would be many pairs, the key is split by all other bands first: sets
-  that link agree in many of them, others do not, so that the groups shrink until few pairs are left. No
-  group is cut off: what cannot be split further is compared in full.
+  estimates their similarity. Sets connected by stars that are likely links make a neighbourhood.
+* Sets of one key in different neighbourhoods are unlike the same first set. Those outside the key's largest
+  neighbourhood meet the others; where they are many, the key is split by all other bands first, which unlike sets
+  seldom share. What turns out to be likely joins neighbourhoods, so that any two sets that can link are in one.
+* Likely links are confirmed on full sets, first each set with its most similar one, then those between components.
+* What is left are neighbourhoods of several components. Small ones are compared in full. In a large one, a core
+  (the shingles that most of a few members hold) rules pairs out: sets x and y share at most min(|x and core|,
+  |y and core|) shingles and those that both have beyond the core, so only pairs with common shingles
+  beyond the core, or with enough in it for their sizes, can link. This holds for any core.
 * Components come from alternating large-star and small-star rounds.
 """
 
@@ -21,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.batches import pieces, utf8
@@ -38,8 +41,12 @@ BANDS, ROWS = 32, 5
 HASHES = BANDS * ROWS
 #: Equal minima of two sets that may link: six standard deviations below what a similarity of 0.8 gives.
 LEAST = int(HASHES * LIKE / 100 - 6 * (HASHES * 0.16) ** 0.5)
-#: Pairs for each set of a key beyond which the key is split by other bands, and how often that is done.
-PAIRS, DEPTH = 50, 3
+#: Equal minima that make neighbours: loose, so that what stays apart is so unlike that few bands agree.
+LOOSE = int(HASHES * 0.35)
+#: Sets of a key outside its largest group beyond which the key is split by other bands, and how often that is done.
+STRAYS, DEPTH = 8, 2
+#: Members of a neighbourhood up to which it is compared in full, and members that its core is made of.
+FEW, SAMPLE = 32, 16
 #: Links of one set that a task works on with one copy of that set.
 PART = 64
 
@@ -108,40 +115,50 @@ def _sets(wanted):
     return run
 
 
-def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, b, agree) of those pairs (a, b, sign_a, sign_b) of which enough minima agree."""
+def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b, agree, fits) of those pairs of which LOOSE minima agree; ``fits``: the sizes allow a link."""
     for batch in batches:
-        a, b = (
-            np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, HASHES) for c in ("sign_a", "sign_b")
-        )
+        a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, HASHES) for c in ("sign_a", "sign_b"))
         agree = (a == b).sum(axis=1)
-        batch = pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(agree)], ["a", "b", "agree"])
-        yield batch.filter(pa.array(agree >= LEAST))
+        columns = [batch.column("a"), batch.column("b"), pa.array(agree), batch.column("fits")]
+        yield pa.RecordBatch.from_arrays(columns, ["a", "b", "agree", "fits"]).filter(pa.array(agree >= LOOSE))
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, agree) of the pairs whose sizes allow a link and whose signatures make one likely."""
+    """(a, b, agree, fits) of the pairs whose signatures make them neighbours."""
     for end in ("a", "b"):
         pairs = pairs.join(sets.select(F.col("sid").alias(end), F.col("n").alias(f"n_{end}"), F.col("sign").alias(f"sign_{end}")), end)
     fits = (100 * F.col("n_a") >= LIKE * F.col("n_b")) & (100 * F.col("n_b") >= LIKE * F.col("n_a"))
-    return kept(pairs.where(fits).select("a", "b", "sign_a", "sign_b").mapInArrow(_alike, "a long, b long, agree long"))
+    told = pairs.select("a", "b", "sign_a", "sign_b", fits.alias("fits"))
+    return kept(told.mapInArrow(_agreeing, "a long, b long, agree long, fits boolean"))
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full sets link.
+def may_link() -> Column:
+    return F.col("fits") & (F.col("agree") >= LEAST)
 
-    Only texts of sets that a pair names are read in full. A set of many pairs is copied for every PART of them.
-    """
+
+def full_sets(sids: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(sid, set) of the sets named in ``sids``; only texts that have one of them are read in full."""
+    sids = kept(sids.select("sid").distinct())
+    wanted = bit_filter(sets.join(sids, "sid", "left_semi").select("tid"))
+    full = docs.mapInArrow(_sets(wanted), "sid long, set array<long>").join(sids, "sid", "left_semi")
+    return kept(full.groupBy("sid").agg(F.first("set").alias("set")))
+
+
+def met_in_parts(many: DataFrame, one: DataFrame, key: str, other: str) -> DataFrame:
+    """``many`` with the columns of ``one`` (unique in ``key``), which is copied for every PART rows of a key."""
+    parts = many.groupBy(key).agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
+    one = one.join(parts, key).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    many = many.join(parts, key).withColumn("part", F.pmod(F.xxhash64(other), F.col("parts")).cast("int")).drop("parts")
+    return many.join(one, [key, "part"]).drop("part")
+
+
+def confirmed(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose full sets link."""
     pairs = kept(pairs.select("a", "b"))
-    named = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
-    full = docs.mapInArrow(_sets(bit_filter(sets.join(named, "sid", "left_semi").select("tid"))), "sid long, set array<long>")
-    full = kept(full.join(named, "sid", "left_semi").groupBy("sid").agg(F.first("set").alias("set")))
-    parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
-    left = full.select(F.col("sid").alias("a"), F.col("set").alias("set_a")).join(parts, "a")
-    left = left.select("a", "set_a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    right = pairs.join(full.select(F.col("sid").alias("b"), F.col("set").alias("set_b")), "b").join(parts, "a")
-    right = right.withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int")).drop("parts")
-    met = right.join(left, ["a", "part"])
+    full = full_sets(pairs.select(F.explode(F.array("a", "b")).alias("sid")), docs, sets)
+    right = pairs.join(full.select(F.col("sid").alias("b"), F.col("set").alias("set_b")), "b")
+    met = met_in_parts(right, full.select(F.col("sid").alias("a"), F.col("set").alias("set_a")), "a", "b")
     share = F.size(F.array_intersect("set_a", "set_b"))
     linked = 100 * share >= LIKE * (F.size("set_a") + F.size("set_b") - share)
     return kept(met.where(linked).select("a", "b"))
@@ -157,31 +174,128 @@ def across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return _with_label(_with_label(pairs, labels, "a", "la"), labels, "b", "lb").where("la <> lb").drop("la", "lb")
 
 
-def split_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) of sets of one key (key, sid, label) in different components, each once.
+def mains(rows: DataFrame) -> DataFrame:
+    """(key, main, strays) of the keys of ``rows`` (key, sid, label) that hold several labels; main is the most frequent."""
+    of = rows.groupBy("key", "label").agg(F.count("*").alias("c"))
+    of = of.groupBy("key").agg(F.sum("c").alias("all"), F.max(F.struct("c", "label")).alias("most"), F.count("*").alias("labels"))
+    return of.where("labels > 1").select("key", F.col("most.label").alias("main"), (F.col("all") - F.col("most.c")).alias("strays"))
+
+
+def met_strays(rows: DataFrame) -> DataFrame:
+    """Pairs (a, b), a < b, of sets with one key and different labels; ``rows`` is (key, sid, label, main)."""
+    stray = rows.where("label <> main").select("key", F.col("sid").alias("x"), F.col("label").alias("lx"))
+    met = stray.join(rows.select("key", F.col("sid").alias("y"), F.col("label").alias("ly"), "main"), "key")
+    met = met.where((F.col("lx") != F.col("ly")) & ((F.col("ly") == F.col("main")) | (F.col("x") < F.col("y"))))
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
-    Every such pair that has a chance to link is among them: see the module's text.
+
+def star_pairs(rows: DataFrame) -> DataFrame:
+    """(a, b) of the first set a of each key of ``rows`` (key, sid, label) with its sets b of another label."""
+    first = rows.groupBy("key").agg(F.min(F.struct("sid", "label")).alias("first"), F.max("label").alias("x"), F.min("label").alias("y"))
+    met = rows.join(first.where("x <> y").drop("x", "y"), "key").where(F.col("first.label") != F.col("label"))
+    return met.select(F.least("first.sid", "sid").alias("a"), F.greatest("first.sid", "sid").alias("b")).distinct()
+
+
+def neighbours(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, agree, fits), a < b, that connect any two sets with a common key in ``rows`` (key, sid) that can link.
+
+    Stars come first. Of a key with few sets outside the largest neighbourhood, these meet all others; one with many
+    is split by the further bands, in which linked sets agree in about ten places and unlike ones hardly anywhere,
+    and stars of the parts come next. What is still large after DEPTH splits is compared as it is.
     """
+    rows = kept(rows.select("key", "sid", F.col("key").alias("last"), F.col("sid").alias("label")))
+    known = kept(star_pairs(rows))
+    found = verified(known, sets)
     out = []
     for depth in range(DEPTH + 1):
-        of = rows.groupBy("key", "label").agg(F.count("*").alias("c"))
-        of = of.groupBy("key").agg(F.sum("c").alias("all"), F.max(F.struct("c", "label")).alias("most"), F.count("*").alias("labels"))
-        of = of.where("labels > 1").select("key", "all", F.col("most.label").alias("main"), (F.col("all") - F.col("most.c")).alias("strays"))
-        many = F.lit(False) if depth == DEPTH else F.col("strays") > PAIRS
-        rows = kept(rows.join(of.withColumn("many", many).drop("all", "strays"), "key"))
-        few = rows.where(~F.col("many"))
-        stray = few.where("label <> main").select("key", F.col("sid").alias("a"), F.col("label").alias("la"))
-        met = stray.join(few.select("key", F.col("sid").alias("b"), F.col("label").alias("lb")), "key").where("la <> lb")
-        out.append(kept(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()))
-        rows = rows.where("many").select("key", "sid", "label")
+        rows = _with_label(rows.select("key", "sid", "last"), components(found), "sid", "label")
+        many = F.lit(False) if depth == DEPTH else F.col("strays") > STRAYS
+        rows = kept(rows.join(mains(rows).withColumn("many", many).drop("strays"), "key"))
+        out.append(kept(met_strays(rows.where(~F.col("many"))).distinct()))
+        rows = rows.where("many")
         if depth == DEPTH or rows.isEmpty():
             break
-        rows = rows.join(sets.select("sid", "keys"), "sid").select("sid", "label", F.explode(F.transform("keys", lambda k: F.xxhash64("key", k))).alias("key"))
-        rows = rows.select("key", "sid", "label")
+        rows = rows.join(sets.select("sid", "keys"), "sid")
+        # Bands in one order, so that sets which share several are split by them once.
+        rows = rows.select("sid", "label", "key", F.explode(F.filter("keys", lambda k: k > F.col("last"))).alias("last"))
+        rows = rows.select(F.xxhash64("key", "last").alias("key"), "sid", "last", "label")
+        alone = rows.groupBy("key").agg(F.max("label").alias("x"), F.min("label").alias("y")).where("x <> y").select("key")
+        rows = kept(rows.join(alone, "key"))
+        more = kept(star_pairs(rows).join(known, ["a", "b"], "left_anti"))
+        known = kept(known.union(more))
+        found = kept(found.union(verified(more, sets)))
     pairs = out[0]
     for more in out[1:]:
         pairs = pairs.union(more)
-    return pairs.distinct()
+    return kept(found.union(verified(pairs.distinct().join(known, ["a", "b"], "left_anti"), sets)))
+
+
+def against_core(members: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Members (key, sid) of neighbourhoods with the size ``n`` of their set, ``s`` of it in the core, ``more`` beyond it, ``core_n``.
+
+    The core has the shingles of most of SAMPLE members, taken by hash; any other would do.
+    """
+    members = kept(members)
+    full = full_sets(members, docs, sets)
+    h = F.xxhash64("sid", F.lit(1))
+    some = members.groupBy("key", F.pmod(h, F.lit(SAMPLE)).alias("slot")).agg(F.min(F.struct(h.alias("h"), "sid")).alias("x"))
+    some = some.select("key", F.col("x.sid").alias("sid"))
+    size = some.groupBy("key").agg(F.count("*").alias("size"))
+    held = some.join(full, "sid").select("key", F.explode("set").alias("e")).groupBy("key", "e").agg(F.count("*").alias("c"))
+    core = held.join(size, "key").where("2 * c > size").groupBy("key").agg(F.collect_list("e").alias("core"))
+    core = size.select("key").join(core, "key", "left").select("key", F.coalesce("core", F.array().cast("array<long>")).alias("core"))
+    told = met_in_parts(members.join(full, "sid"), core, "key", "sid")
+    return kept(told.select(
+        "key", "sid", F.size("set").alias("n"), F.size(F.array_intersect("set", "core")).alias("s"),
+        F.array_except("set", "core").alias("more"), F.size("core").alias("core_n"),
+    ))
+
+
+def centre_pairs(told: DataFrame, labels: DataFrame) -> DataFrame:
+    """(a, b) of the member nearest to each core with all members of other components that may link to it."""
+    slim = _with_label(told.drop("more"), labels, "sid", "label")
+    near = F.col("s") / (F.col("n") + F.col("core_n") - F.col("s"))
+    first = slim.groupBy("key").agg(F.max(F.struct(near.alias("near"), "sid", "label", "n")).alias("x")).select("key", "x.*")
+    first = first.select("key", F.col("sid").alias("a"), F.col("label").alias("la"), F.col("n").alias("n_a"))
+    fits = (100 * F.col("n_a") >= LIKE * F.col("n")) & (100 * F.col("n") >= LIKE * F.col("n_a"))
+    met = slim.join(first, "key").where(fits & (F.col("la") != F.col("label")))
+    return met.select(F.least("a", "sid").alias("a"), F.greatest("a", "sid").alias("b"))
+
+
+def open_pairs(told: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs (a, b) of members of one neighbourhood and different components that the core leaves open."""
+    rows = _with_label(told, labels, "sid", "label")
+    rows = kept(rows.join(mains(rows).drop("strays"), "key"))
+    slim = rows.drop("more")
+
+    # With enough in the core: 9 * share >= 4 (n + m) for some share <= s, whatever lies beyond the core.
+    room = 9 * F.col("s") - 4 * F.col("n")
+    least = slim.groupBy("key").agg(F.min("n").alias("least"))
+    near = slim.withColumn("room", room).join(least, "key").where(F.col("room") >= 4 * F.col("least")).drop("least", "s")
+    near = kept(near)
+    x = near.where("label <> main").select("key", *[F.col(c).alias(f"{c}_x") for c in ("sid", "label", "n", "room")])
+    inside = x.join(near, "key").where("label <> label_x AND room_x >= 4 * n AND room >= 4 * n_x AND (label = main OR sid_x < sid)")
+    inside = inside.select(F.least("sid", "sid_x").alias("a"), F.greatest("sid", "sid_x").alias("b"))
+
+    # With common shingles beyond it: a link needs ``need`` of them, so one of the |more| - need + 1 rarest is common.
+    least_other = F.greatest(F.col("least"), F.ceil(LIKE * F.col("n") / 100))
+    need = F.greatest(F.lit(1), F.ceil(4 * (F.col("n") + least_other) / 9) - F.col("s"))
+    sides = rows.join(least, "key").select("key", "sid", "label", "main", "n", "s", F.size("more").alias("m"), need.alias("need"), "more")
+    sides = sides.where("need <= m")
+    more = kept(sides.select("key", "sid", "label", "main", (F.col("m") - F.col("need") + 1).alias("listed"), "m", F.explode("more").alias("e")))
+    held = more.groupBy("key", "e").agg(F.count("*").alias("c"), F.min("label").alias("x"), F.max("label").alias("y")).where("c > 1")
+    own = Window.partitionBy("key", "sid")
+    more = more.join(held, ["key", "e"])
+    alone = F.col("m") - F.count("*").over(own)  # shingles that no other member has are the rarest
+    place = F.row_number().over(own.orderBy("c", "e"))
+    more = more.withColumn("place", alone + place).where("place <= listed AND x <> y")
+    more = kept(more.select(F.xxhash64("key", "e").alias("key"), "sid", "label"))
+    beyond = met_strays(more.join(mains(more).drop("strays"), "key")).distinct()
+    for end in ("a", "b"):
+        beyond = beyond.join(sides.select(F.col("sid").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in "nsm"]), end)
+    share = F.least("s_a", "s_b") + F.least("m_a", "m_b")
+    beyond = beyond.where(9 * share >= 4 * (F.col("n_a") + F.col("n_b")))
+    return inside.union(beyond.select("a", "b")).distinct()
 
 
 def link_documents(docs: DataFrame) -> DataFrame:
@@ -201,24 +315,35 @@ def link_documents(docs: DataFrame) -> DataFrame:
     texts = docs.select(F.xxhash64("text").alias("tid"), "text").where(F.col("text").isNotNull())
 
     rows = sets.select("sid", F.explode("keys").alias("key"))
-    first = rows.groupBy("key").agg(F.min("sid").alias("a"), F.count("*").alias("c")).where("c > 1").drop("c")
-    rows = kept(rows.join(first, "key"))
-    stars = kept(rows.where("a <> sid").select("a", F.col("sid").alias("b")).distinct())
-    likely = verified(stars, sets)
-    best = likely.groupBy("b").agg(F.max(F.struct("agree", "a")).alias("x")).select("x.a", "b")
+    shared = rows.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
+    found = neighbours(rows.join(shared, "key"), sets)
+    around = kept(components(found))
+    likely = kept(found.where(may_link()).select("a", "b", "agree"))
+    both = likely.union(likely.select(F.col("b"), F.col("a"), "agree"))
+    best = both.groupBy("b").agg(F.max(F.struct("agree", "a")).alias("x"))
+    best = kept(best.select(F.least("x.a", "b").alias("a"), F.greatest("x.a", "b").alias("b")).distinct())
     links = confirmed(best, texts, sets)
     labels = kept(components(links))
-    rest = across(likely.join(best, ["a", "b"], "left_anti"), labels)
-    links = kept(links.union(confirmed(rest, texts, sets)))
-    labels = kept(components(links))
 
-    held = _with_label(rows.select("key", "sid"), labels, "sid", "label")
-    ends = held.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key")
-    pairs = split_pairs(held.join(ends, "key").select("key", "sid", "label"), sets)
-    known = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    likely = verified(pairs.join(known, ["a", "b"], "left_anti"), sets)
-    if not likely.isEmpty():
-        labels = kept(components(links.union(confirmed(likely, texts, sets))))
+    def linked(more: DataFrame) -> None:
+        """Confirms pairs between components and joins these."""
+        nonlocal links, labels
+        more = kept(across(more, labels).distinct())
+        if not more.isEmpty():
+            links = kept(links.union(confirmed(more, texts, sets)))
+            labels = kept(components(links))
+
+    linked(likely.join(best, ["a", "b"], "left_anti"))
+    members = around.select(F.col("label").alias("key"), F.col("node").alias("sid"))
+    held = _with_label(members, labels, "sid", "label")
+    held = kept(held.join(mains(held).drop("strays"), "key"))
+    size = held.groupBy("key").agg(F.count("*").alias("size"))
+    held = kept(held.join(size, "key"))
+    told = against_core(held.where(F.col("size") > FEW).select("key", "sid"), texts, sets)
+    linked(centre_pairs(told, labels))
+    left = met_strays(held.where(F.col("size") <= FEW)).union(open_pairs(told, labels))
+    left = left.join(likely.select("a", "b"), ["a", "b"], "left_anti")
+    linked(verified(left, sets).where(may_link()).select("a", "b"))
 
     known = _with_label(info.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("least")), labels, "sid", "label")
     known = kept(known)
