@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.store import kept
+from ledgerloom.llm.store import kept, release
 
 
 def is_stars(edges: DataFrame) -> bool:
@@ -34,5 +34,6 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         small = small.union(low.select("a", F.col("m").alias("b")))
         edges = kept(small.where(F.col("a") != F.col("b")).distinct())
+        release(links.sparkSession)
     # Every edge now leads from a node to the smallest of its component.
     return edges.select(F.col("a").alias("node"), F.col("b").alias("label")).union(edges.select(F.col("b"), F.col("b")).distinct())

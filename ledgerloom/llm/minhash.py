@@ -32,7 +32,7 @@ from ledgerloom.llm.bits import bit_filter, passes
 from ledgerloom.llm.graph import components
 from ledgerloom.llm.native import digest
 from ledgerloom.llm.shingles import STEP, TURN, mixed, set_id, shingle_sets
-from ledgerloom.llm.store import kept
+from ledgerloom.llm.store import kept, release
 
 SIZE = 4
 #: Percent of the union that linked sets share at least.
@@ -161,7 +161,10 @@ def confirmed(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
     met = met_in_parts(right, full.select(F.col("sid").alias("a"), F.col("set").alias("set_a")), "a", "b")
     share = F.size(F.array_intersect("set_a", "set_b"))
     linked = 100 * share >= LIKE * (F.size("set_a") + F.size("set_b") - share)
-    return kept(met.where(linked).select("a", "b"))
+    links = kept(met.where(linked).select("a", "b"))
+    del right, full, met
+    release(docs.sparkSession)
+    return links
 
 
 def _with_label(rows: DataFrame, labels: DataFrame, of: str, name: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -16,6 +17,15 @@ def kept(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files and checkpoints that no frame in use needs.
+
+    It does so when the driver collects its garbage, which may be long after a job of many steps has filled the disks.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 @contextmanager
 def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
     """Fewer rows to an Arrow batch while jobs run inside, so that a batch of texts takes little memory."""
