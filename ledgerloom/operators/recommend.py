@@ -15,8 +15,9 @@ from .ranking import top_n_per
 
 SCALE = 10**12
 BLOCK = 1024  # products of one customer per block; one join key pairs two blocks
-PAIRS = 4_000_000  # pairs per task of the pair join, a few join keys of the largest kind
+PAIRS = 1_000_000  # pairs per task of the pair join, about a join key of the largest kind
 MOST_TASKS = 100_000
+PROBE = (4, 16)  # one in so many products, at least and at most, takes part in a first look at similarities
 
 
 def interactions(sales: DataFrame, orders: DataFrame, status: str | None = "Delivered") -> DataFrame:
@@ -32,7 +33,14 @@ def user_item(rows: DataFrame) -> DataFrame:
     return totals.filter("qty > 0")
 
 
-def _blocked(matrix: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _sized(matrix: DataFrame) -> DataFrame:
+    """The matrix with the squared norm of each product and the blocks its customer's products are cut into."""
+    norms = matrix.groupBy("product_id").agg(F.sum(F.col("qty") * F.col("qty")).alias("norm2"))
+    sizes = matrix.groupBy("customer_id").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    return matrix.join(norms, "product_id").join(sizes, "customer_id")
+
+
+def _blocked(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Both sides of the pair join, with customers of many products cut into blocks.
 
     The b = ceil(m / BLOCK) blocks of a customer with m products meet in pairs (lo, hi), lo <= hi.
@@ -40,11 +48,8 @@ def _blocked(matrix: DataFrame) -> tuple[DataFrame, DataFrame]:
     key makes about BLOCK x BLOCK pairs however large the customer is, every two products meet under
     one key, and customers of up to BLOCK products are not copied at all.
     """
-    norms = matrix.groupBy("product_id").agg(F.sum(F.col("qty") * F.col("qty")).alias("norm2"))
-    sizes = matrix.groupBy("customer_id").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    rows = matrix.join(norms, "product_id").join(sizes, "customer_id")
     block = F.pmod(F.xxhash64("product_id"), F.col("blocks")).cast("int")
-    product = F.struct("product_id", "qty", "norm2")
+    product = F.struct("product_id", "qty", "norm2", "floor")
     low = rows.select("customer_id", block.alias("lo"), "blocks", product.alias("x"))
     high = rows.select("customer_id", block.alias("hi"), product.alias("y"))
     low = low.withColumn("hi", F.explode(F.sequence("lo", F.col("blocks") - 1))).drop("blocks")
@@ -59,26 +64,24 @@ def _staged(matrix: DataFrame) -> DataFrame:
     return spark.read.schema(matrix.schema).parquet(path)
 
 
-def _pair_tasks(matrix: DataFrame) -> int:
-    """Tasks for the pair join: as many as give each ``PAIRS`` pairs on average."""
+def _pair_count(matrix: DataFrame) -> int:
+    """Pairs that the customers' products make, those of a product with itself included."""
     m = F.col("m").cast("double")
     sizes = matrix.groupBy("customer_id").agg(F.count("*").alias("m"))
-    pairs = sizes.agg(F.sum(m * (m + 1) / 2)).first()[0] or 0
-    return int(min(max(1, -(-pairs // PAIRS)), MOST_TASKS))
+    return int(sizes.agg(F.sum(m * (m + 1) / 2)).first()[0] or 0)
 
 
-def item_pairs(matrix: DataFrame) -> DataFrame:
-    """Products bought by a common customer, smaller id first, with dot product and norms.
+def _pair_tasks(matrix: DataFrame, pairs: int) -> int:
+    """Tasks for the pair join: as many as give each ``PAIRS`` pairs on average, and one for each core at least."""
+    return min(max(matrix.sparkSession.sparkContext.defaultParallelism, -(-pairs // PAIRS)), MOST_TASKS)
 
-    These pairs are the result of the similarity job, so none can be left out. What is kept
-    small is the way there: pairs are summed in the task that makes them, before the shuffle,
-    and large customers are spread over many join keys.
-    """
-    matrix = _staged(matrix)
-    low, high = _blocked(matrix)
+
+def _pairs(rows: DataFrame, tasks: int) -> DataFrame:
+    """Products bought by a common customer, smaller id first, with dot product, norms and floors."""
+    low, high = _blocked(rows)
     # few bytes make many pairs, so the work sets the number of tasks and AQE must not merge them
     keys = ["customer_id", "lo", "hi"]
-    met = low.repartition(_pair_tasks(matrix), *keys).join(high, keys)
+    met = low.repartition(tasks, *keys).join(high, keys)
     x, y = F.col("x"), F.col("y")
     ordered = x["product_id"] < y["product_id"]
     pairs = met.filter((F.col("lo") < F.col("hi")) | ordered).select(
@@ -87,20 +90,34 @@ def item_pairs(matrix: DataFrame) -> DataFrame:
     # the norms belong to the two products: carried along, they save two joins of the pairs
     return pairs.groupBy(F.col("a.product_id").alias("product_id_a"), F.col("b.product_id").alias("product_id_b")).agg(
         F.sum(F.col("a.qty") * F.col("b.qty")).alias("dot"),
-        F.max("a.norm2").alias("norm2_a"),
-        F.max("b.norm2").alias("norm2_b"),
+        *[F.max(f"{end}.{c}").alias(f"{c}_{end}") for c in ("norm2", "floor") for end in ("a", "b")],
     )
 
 
+def item_pairs(matrix: DataFrame) -> DataFrame:
+    """Products bought by a common customer, smaller id first, with dot product and norms.
+
+    These pairs are the result of the similarity job, so none can be left out. What is kept
+    small is the way there: pairs are summed in the task that makes them, before the shuffle,
+    and large customers are spread over many join keys.
+    """
+    matrix = _staged(matrix)
+    rows = _sized(matrix).withColumn("floor", F.lit(0).cast("bigint"))
+    return _pairs(rows, _pair_tasks(matrix, _pair_count(matrix))).drop("floor_a", "floor_b")
+
+
+def cosine(end_a: str = "norm2_a", end_b: str = "norm2_b") -> Column:
+    return F.col("dot").cast("double") / F.sqrt(F.col(end_a).cast("double") * F.col(end_b).cast("double"))
+
+
 def item_similarity(matrix: DataFrame) -> DataFrame:
     """(product, neighbour, cosine similarity) in both directions, positive similarities only."""
     pairs = item_pairs(matrix)
-    cosine = F.col("dot").cast("double") / F.sqrt(F.col("norm2_a").cast("double") * F.col("norm2_b").cast("double"))
     both = F.array(
         F.struct(F.col("product_id_a").alias("product_id"), F.col("product_id_b").alias("neighbour_id")),
         F.struct(F.col("product_id_b").alias("product_id"), F.col("product_id_a").alias("neighbour_id")),
     )
-    return pairs.select(F.inline(both), cosine.alias("similarity"))
+    return pairs.select(F.inline(both), cosine().alias("similarity"))
 
 
 def points(similarity: Column) -> Column:
@@ -113,14 +130,76 @@ def nearest_items(similarity: DataFrame, neighbours: int = 19) -> DataFrame:
     return top_n_per(similarity, ["product_id"], order, neighbours)
 
 
-def candidate_scores(matrix: DataFrame, nearest: DataFrame) -> DataFrame:
-    """Summed similarity of every neighbour of a customer's products, owned products included."""
-    found = matrix.select("customer_id", "product_id").join(
-        nearest.select("product_id", "neighbour_id", points(F.col("similarity")).alias("points")), "product_id"
-    )
-    return found.groupBy("customer_id", F.col("neighbour_id").alias("product_id")).agg(
-        F.sum("points").alias("points")
+def probe_of(pairs: int, products: int, neighbours: int) -> int:
+    """One in how many products to probe, 0 for no probe.
+
+    A probe of one in p costs 2 / p of the pair join and leaves p x ``neighbours`` pairs of a product to
+    rank. It pays if a product has several times as many.
+    """
+    least, most = PROBE
+    p = min(most, 2 * pairs // max(1, products) // (4 * neighbours))
+    return p if p >= least else 0
+
+
+def similarity_floors(rows: DataFrame, neighbours: int, probed: int) -> DataFrame:
+    """(product_id, floor): points that a product's nearest ``neighbours`` have at least.
+
+    The ``neighbours``-th best among one in ``probed`` of all products cannot be better than among all of
+    them, so it bounds from below what counts. Products with too few neighbours in the probe have no row.
+    ``rows`` is the matrix with norm2 and blocks; a customer's products meet the probe block by block.
+    """
+    block = F.pmod(F.xxhash64("product_id"), F.col("blocks")).cast("int")
+    probe = rows.filter(F.pmod(F.xxhash64("product_id", F.lit(1)), F.lit(probed)) == 0)
+    probe = probe.select(
+        "customer_id", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
+        F.col("product_id").alias("neighbour_id"), F.col("qty").alias("qty_b"), F.col("norm2").alias("norm2_b"),
+    )
+    met = rows.withColumn("block", block).join(probe, ["customer_id", "block"]).filter("product_id <> neighbour_id")
+    pairs = met.groupBy("product_id", "neighbour_id").agg(
+        F.sum(F.col("qty") * F.col("qty_b")).alias("dot"), F.max("norm2").alias("norm2_a"), F.max("norm2_b").alias("norm2_b")
     )
+    scored = pairs.select("product_id", points(cosine()).alias("floor"))
+    last = top_n_per(scored, ["product_id"], [F.desc("floor")], neighbours).filter(F.col("rank") == neighbours)
+    return last.select("product_id", "floor")
+
+
+def nearest_neighbours(matrix: DataFrame, neighbours: int = 19) -> DataFrame:
+    """(product_id, neighbour_id, points): the most similar products of each, equal ones by id.
+
+    The same rows as ``nearest_items`` of ``item_similarity``. Where products have many neighbours, a pair is
+    ranked only for those of its two products whose floor it reaches; the floors travel with the products.
+    ``matrix`` is a written table.
+    """
+    rows, none = _sized(matrix), F.lit(0).cast("bigint")
+    many = _pair_count(matrix)
+    probed = probe_of(many, matrix.select("product_id").distinct().count(), neighbours)
+    if probed:
+        rows = rows.join(similarity_floors(rows, neighbours, probed), "product_id", "left").withColumn("floor", F.coalesce("floor", none))
+    else:
+        rows = rows.withColumn("floor", none)
+    pairs = _pairs(rows, _pair_tasks(matrix, many)).withColumn("points", points(cosine()))
+
+    def way(own: str, other: str) -> Column:
+        there = F.struct(F.col(f"product_id_{own}").alias("product_id"), F.col(f"product_id_{other}").alias("neighbour_id"))
+        return F.when(F.col("points") >= F.col(f"floor_{own}"), there)
+
+    reached = pairs.filter(F.col("points") >= F.least("floor_a", "floor_b"))
+    ways = reached.select("points", F.explode(F.array_compact(F.array(way("a", "b"), way("b", "a")))).alias("way"))
+    ways = ways.select("way.product_id", "way.neighbour_id", "points")
+    return top_n_per(ways, ["product_id"], [F.desc("points"), F.asc("neighbour_id")], neighbours)
+
+
+def candidate_scores(matrix: DataFrame, nearest: DataFrame) -> DataFrame:
+    """Summed similarity of every neighbour of a customer's products that the customer does not own.
+
+    The products owned take part as rows without points, so no further join takes them out.
+    """
+    found = matrix.select("customer_id", "product_id").join(nearest.select("product_id", "neighbour_id", "points"), "product_id")
+    found = found.select("customer_id", F.col("neighbour_id").alias("product_id"), "points")
+    owned = matrix.select("customer_id", "product_id", F.lit(None).cast("bigint").alias("points"))
+    sums = found.union(owned).groupBy("customer_id", "product_id")
+    sums = sums.agg(F.sum("points").alias("points"), F.count("points").alias("times"), F.count("*").alias("rows"))
+    return sums.filter("times = rows").select("customer_id", "product_id", "points")
 
 
 def exclude_purchased(candidates: DataFrame, matrix: DataFrame) -> DataFrame:
@@ -131,11 +210,11 @@ def exclude_purchased(candidates: DataFrame, matrix: DataFrame) -> DataFrame:
 def recommend(matrix: DataFrame, top_n: int = 5, neighbours: int = 19) -> DataFrame:
     """The best ``top_n`` products each customer does not own yet.
 
-    With fewer than two customers or products nothing is left to recommend and the result is
-    empty, with the same columns.
+    The matrix is written once; pairs, scores and the exclusion read it. With fewer than two
+    customers or products nothing is left to recommend and the result is empty, with the same columns.
     """
-    nearest = nearest_items(item_similarity(matrix), neighbours)
-    fresh = exclude_purchased(candidate_scores(matrix, nearest), matrix)
+    matrix = _staged(matrix)
+    fresh = candidate_scores(matrix, nearest_neighbours(matrix, neighbours))
     best = top_n_per(fresh, ["customer_id"], [F.desc("points"), F.asc("product_id")], top_n)
     return best.select(
         "customer_id",

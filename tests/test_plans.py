@@ -42,14 +42,14 @@ def test_no_window_gathers_customers_or_products(spark, no_broadcast, name):
         assert re.search(r"windowspecdefinition\((customer_id|product_id)#|_size#", node), node
 
 
-def test_scores_take_one_slim_checkpoint(spark, no_broadcast, monkeypatch):
-    """Before the checkpoint: no window over all rows, and only key, column number and value are sorted."""
-    seen = []
-    whole = ranking.global_row_number
-    monkeypatch.setattr(ranking, "global_row_number", lambda df, *a: seen.append(df) or whole(df, *a))
-    catalog.run("rfm_sql", spark, FOLDER)
-    (slim,) = seen
-    assert slim.columns == ["customer_id", "_of", "_value"] and "Window" not in plan(slim)
+def test_scores_are_selected_not_sorted(spark, no_broadcast, monkeypatch):
+    """No sort, shuffle or numbering of all customers, and no checkpoint: the written rows are read and compared."""
+    monkeypatch.setattr(ranking, "global_row_number", None)
+    monkeypatch.setattr("pyspark.sql.classic.dataframe.DataFrame.checkpoint", None)
+    base = spark.range(2000).select(F.col("id").alias("customer_id"), (F.col("id") % 7).alias("recency_days"), "id")
+    text = plan(ranking.global_scores(base, "customer_id", ["recency_days", "id"], ranking.ntile_of))
+    assert "FileScan parquet" in text and not re.search("Exchange|Sort|Window|Join", text)
+    catalog.run("rfm_crm_export", spark, FOLDER)
 
 
 def test_filters_and_columns_reach_the_scan(spark):

@@ -63,6 +63,27 @@ def test_global_row_number_over_many_partitions_and_one_hot_value(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", conf)
 
 
+@pytest.mark.parametrize("rule", [ranking.ntile_of, ranking.quantile_bin_of])
+@pytest.mark.parametrize("few, accuracy", [(100_000, 10_000), (10, 20), (10, 2)])
+def test_selected_buckets_equal_numbered_ones(spark, monkeypatch, rule, few, accuracy):
+    """With and without brackets, brackets too narrow to hit included; ids as numbers and as texts of unlike length."""
+    monkeypatch.setattr(ranking, "FEW", few)
+    monkeypatch.setattr(ranking, "ACCURACY", accuracy)
+    n = 997
+    df = spark.range(n).select(
+        (F.col("id") * 7919 % n).alias("num"), (F.xxhash64("id") % 100_000 / 100).alias("wide"), F.lit(5).alias("same"),
+        F.when(F.col("id") % 3 > 0, 1).when(F.col("id") % 5 > 0, F.col("id") % 4).alias("tied"),
+    )
+    df = df.withColumn("text", F.concat(F.lit("customer-"), F.col("num").cast("string"), F.when(F.col("num") % 2 == 0, "é-long-tail").otherwise("")))
+    names = ["wide", "same", "tied"]
+    for key in ("num", "text"):
+        got = ranking.global_scores(df, key, names, rule)
+        for c in names:
+            order = Window.partitionBy().orderBy(F.asc_nulls_last(F.col(c).cast("decimal(38,6)")), F.asc(key))
+            both = got.withColumn("rn", F.row_number().over(order)).withColumn("n", F.lit(n).cast("bigint"))
+            assert both.filter(F.col(f"{c}_bucket") != rule(F.col("rn"), F.col("n"))).count() == 0, (key, c)
+
+
 def brute_force(cells, top_n=5, neighbours=19):
     """Dense cosine recommender over {(customer, product): qty}."""
     customers = sorted({c for c, _ in cells})
@@ -86,9 +107,10 @@ def brute_force(cells, top_n=5, neighbours=19):
     return out
 
 
-@pytest.mark.parametrize("block", [2, 256])
-def test_recommendations_equal_brute_force(spark, monkeypatch, block):
+@pytest.mark.parametrize("block, probed", [(2, 0), (256, 0), (4, 1), (256, 2)])
+def test_recommendations_equal_brute_force(spark, monkeypatch, block, probed):
     monkeypatch.setattr(recommend, "BLOCK", block)
+    monkeypatch.setattr(recommend, "probe_of", lambda *_: probed)
     rng = random.Random(5)
     cells = {(c, p): rng.randint(1, 9) for c in range(12) for p in rng.sample(range(30), rng.randint(1, 9))}
     cells.update({(99, p): rng.randint(1, 9) for p in range(28)})  # one customer with nearly everything
@@ -102,6 +124,32 @@ def test_recommendations_equal_brute_force(spark, monkeypatch, block):
     assert recommend.recommend(matrix).join(owned, ["customer_id", "recommended_product_id"]).count() == 0
 
 
+def test_floors_bound_the_nearest_neighbours(spark, monkeypatch):
+    """Dense purchases: the probe takes place, its floors hold, most pairs are not ranked, the neighbours are the same."""
+    matrix = spark.range(60 * 200).select((F.col("id") % 60).alias("customer_id"), F.expr("id div 60").alias("product_id"), (F.xxhash64("id") % 50).alias("qty"))
+    matrix = matrix.filter("qty > 0")
+    neighbours = 5
+    assert recommend.probe_of(recommend._pair_count(matrix), 200, neighbours) == 16
+    plain = recommend.nearest_items(recommend.item_similarity(matrix), neighbours)
+    plain = plain.select("product_id", "neighbour_id", recommend.points(F.col("similarity")).alias("points"), "rank")
+    near = recommend.nearest_neighbours(matrix, neighbours)
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, near.select(*plain.columns).collect()))
+    floors = recommend.similarity_floors(recommend._sized(matrix), neighbours, 4)
+    last = plain.filter(F.col("rank") == neighbours)
+    assert floors.count() == 200 and floors.join(last, "product_id").filter("floor > points").count() == 0
+    scores = recommend.item_similarity(matrix).join(floors, "product_id")
+    reached = scores.filter(recommend.points(F.col("similarity")) >= F.col("floor")).count()
+    assert reached < scores.count() / 4
+    assert recommend.probe_of(1000, 100, 19) == 0 and recommend.probe_of(0, 0, 19) == 0
+
+
+def test_pair_tasks_follow_pairs_and_cores(spark):
+    matrix = spark.createDataFrame([(1, 1, 1), (1, 2, 1)], "customer_id INT, product_id INT, qty BIGINT")
+    assert recommend._pair_count(matrix) == 3
+    assert recommend._pair_tasks(matrix, 3) == spark.sparkContext.defaultParallelism == 8
+    assert recommend._pair_tasks(matrix, 50_000_000) == 50
+
+
 def test_block_size_does_not_change_pairs(spark, monkeypatch):
     matrix = spark.range(300).select((F.col("id") % 2).alias("customer_id"), (F.col("id") % 90).alias("product_id"), (F.col("id") % 7 + 1).alias("qty"))
     matrix = recommend.user_item(matrix.withColumnRenamed("qty", "quantity"))
