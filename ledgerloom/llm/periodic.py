@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.llm.batches import pieces, utf8
 from ledgerloom.llm.native import let, words
@@ -146,8 +147,8 @@ def mark_runs(docs: DataFrame, least: int = 12) -> DataFrame:
     """
     old = [F.col(f"`{c}`") for c in docs.columns if c not in ADDED]
     rows = docs.select(F.struct(*old).alias("own"), F.col("text"))
-    own = rows.schema["own"].dataType.simpleString()
-    told = rows.mapInArrow(_mark(least), f"own {own}, n_words long, runs {RUNS}, collapsed string")
+    schema = T.StructType([rows.schema["own"], *T.StructType.fromDDL(f"n_words long, runs {RUNS}, collapsed string")])
+    told = rows.mapInArrow(_mark(least), schema)
     return told.select("own.*", "n_words", "runs", "collapsed")
 
 
