@@ -105,6 +105,17 @@ QUERIES = {
     "filter_slicers": """SELECT order_id, line_no, product_id, order_date, CAST(total_revenue AS DOUBLE) AS total_revenue
         FROM m_fct_sales WHERE order_date BETWEEN DATE '1996-03-01' AND DATE '1999-06-30' AND year(order_date) = 1997
         AND region = 'ASIA' AND category = 'PROMO' AND segment = 'BUILDING'""",
+    "sales_slice": """SELECT order_id, line_no, product_id, order_date, CAST(total_revenue AS DOUBLE) AS total_revenue
+        FROM m_fct_sales WHERE order_date BETWEEN DATE '1996-03-01' AND DATE '1999-06-30' AND year(order_date) = 1997
+        AND region = 'ASIA' AND category = 'PROMO'""",
+    "sales_drillthrough": """SELECT CAST(date_trunc('month', order_date) AS DATE) AS month_start, region, CAST(SUM(total_revenue) AS DOUBLE) AS revenue
+        FROM m_fct_sales WHERE date_trunc('month', order_date) IN (SELECT month_start FROM m_dropped) GROUP BY ALL""",
+    "sales_reload": f"SELECT {_ITEM}, order_date, customer_id, region, order_status, segment, city, order_month FROM m_fct_sales",
+    "quarantine_rejects": """SELECT CASE WHEN order_id % 7 = 0 THEN 'open quote' WHEN order_id % 11 = 0 THEN 'number of columns'
+        WHEN order_id % 13 = 0 THEN 'order_id: not bigint' ELSE 'good' END AS reason, COUNT(*) AS n_rows,
+        CASE WHEN reason = 'good' THEN MAX(order_id) ELSE MAX(length(CAST(order_id AS VARCHAR)) + length(CAST(customer_id AS VARCHAR)) + 12
+        + CASE WHEN order_id % 13 = 0 THEN 1 ELSE 0 END + CASE WHEN order_id % 7 = 0 THEN 1 WHEN order_id % 11 = 0 THEN 5 ELSE 0 END) END AS longest
+        FROM m_orders GROUP BY reason""",
     "filter_drop_threshold": f"""SELECT month_start, ROUND({_MOM}, 2) AS mom_growth_pct
         FROM (SELECT *, LAG(revenue) OVER (ORDER BY month_start) AS prev FROM m_monthly_delivered)
         WHERE ROUND({_MOM}, 2) <= -10""",

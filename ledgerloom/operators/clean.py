@@ -74,15 +74,23 @@ def slice_rows(
     date_to: str | None = None,
     year: int | None = None,
     date: str = "order_date",
+    month: str = "order_month",
     **equal: str | None,
 ) -> DataFrame:
-    """Optional report filters. Dates and years become ranges so that file scans can use them."""
+    """Optional report filters. Dates and years become ranges so that file scans can use them.
+
+    A frame with the month column that belongs to ``date`` is also filtered by months: tables laid out by
+    month then read the folders of those months only.
+    """
+    if year is not None:
+        df = slice_rows(df, f"{year:04d}-01-01", f"{year:04d}-12-31", date=date, month=month)
+    by_month = date == "order_date" and month in df.columns
     if date_from is not None:
         df = df.filter(F.col(date) >= F.lit(date_from).cast("date"))
+        df = df.filter(F.col(month) >= F.lit(date_from[:7])) if by_month else df
     if date_to is not None:
         df = df.filter(F.col(date) <= F.lit(date_to).cast("date"))
-    if year is not None:
-        df = slice_rows(df, f"{year:04d}-01-01", f"{year:04d}-12-31", date=date)
+        df = df.filter(F.col(month) <= F.lit(date_to[:7])) if by_month else df
     for column, value in equal.items():
         if value is not None:
             df = df.filter(F.col(column) == F.lit(value))

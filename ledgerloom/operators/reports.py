@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import month_name, month_start
+from ..functions.dates import month_label, month_name, month_start
 from ..functions.lookups import region_latitude, region_longitude
 from ..functions.numbers import or_zero, percent, ratio, rounded, sum_or_zero
 from .clean import by_status, slice_rows
@@ -127,6 +127,17 @@ def drill_through(monthly_by_dimension: DataFrame, months: DataFrame) -> DataFra
     return monthly_by_dimension.join(months.select("month_start"), "month_start", "left_semi")
 
 
+def drill_sales(sales: DataFrame, months: DataFrame, by: str = "region") -> DataFrame:
+    """Monthly revenue by region or category in the selected months, from a sales table laid out by ``order_month``.
+
+    The months are one row for each calendar month at most, so they are sent to all tasks; the scan then
+    leaves out the folders of all other months while it runs.
+    """
+    wanted = F.broadcast(months.select(month_label("month_start").alias("order_month")).distinct())
+    rows = sales.join(wanted, "order_month", "left_semi")
+    return rows.groupBy(month_start("order_date").alias("month_start"), by).agg(F.sum("total_revenue").alias("revenue"))
+
+
 def seasonality(sales: DataFrame, orders: DataFrame) -> DataFrame:
     """Mean monthly revenue per calendar month and its share of the twelve means."""
     means = (

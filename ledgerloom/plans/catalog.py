@@ -15,7 +15,7 @@ from ..operators import clean, cohorts, forecast, insights, model, quality, rank
 from ..session import scratch_path, scratch_table
 from ..sources import files, jdbc, sinks
 from ..sources.testdata import CANCELLED, CATEGORIES, DELIVERED, REFERENCE_DATE, REGIONS, RETURNED, TestModel
-from . import batch
+from . import batch, reload
 
 Job = Callable[[TestModel], DataFrame]
 JOBS: dict[str, Job] = {}
@@ -147,6 +147,54 @@ def _(m):
     return quality.row_counts(batch.process(m.raw, folder))
 
 
+def _written_sales(m: TestModel, sales: DataFrame) -> DataFrame:
+    path = sinks.write_tables({"fct_sales": sales}, scratch_path(m.spark, "sales"))["fct_sales"]
+    return m.spark.read.schema(sales.schema).parquet(path)
+
+
+@job("sales_slice")
+def _(m):
+    kept = clean.slice_rows(_written_sales(m, m.fct_sales), "1996-03-01", "1999-06-30", region="ASIA", category="PROMO", year=1997)
+    return kept.select("order_id", "line_no", "product_id", "order_date", "total_revenue")
+
+
+@job("sales_drillthrough")
+def _(m):
+    monthly = reports.monthly_by_region(m.sales, m.orders)
+    months = reports.drop_months_of(monthly)
+    return reports.drill_sales(_written_sales(m, m.fct_sales), months, "region")
+
+
+@job("sales_reload")
+def _(m):
+    # lines of a third of the orders of half a year come late, some orders first stood in another month
+    months_off = F.when(F.col("customer_id") % 2 == 0, F.add_months("order_date", 1)).otherwise(F.col("order_date"))
+    late = m.fct_orders.filter("order_date BETWEEN DATE '1995-02-01' AND DATE '1995-07-31' AND order_id % 3 = 0")
+    early = m.fct_orders.withColumn("order_date", F.when(F.col("order_id") % 3 == 0, months_off).otherwise(F.col("order_date")))
+    early = m.fct_orders.join(late.select("order_id"), "order_id", "left_anti").unionByName(early.join(late.select("order_id"), "order_id", "left_semi"))
+    some = m.fct_order_items.join(late.filter("customer_id % 3 = 0").select("order_id"), "order_id", "left_anti")
+    folder = scratch_path(m.spark, "sales")
+    path = sinks.write_tables({"fct_sales": model.fct_sales(some, early, m.customers)}, folder)["fct_sales"]
+    orders = reload.with_late(early, late, ["order_id"])
+    reload.reload_sales(m.fct_order_items, orders, m.customers, reload.touched_months(late, early), path)
+    return m.spark.read.schema(m.fct_sales.schema).parquet(path)
+
+
+@job("quarantine_rejects")
+def _(m):
+    # every 7th order has an open quote, every 11th a column too many, every 13th no number as its key
+    id_text = F.when(F.col("order_id") % 13 == 0, F.concat(F.lit("x"), F.col("order_id").cast("string"))).otherwise(F.col("order_id").cast("string"))
+    line = F.concat_ws(",", id_text, F.col("order_date").cast("string"), F.col("customer_id").cast("string"))
+    line = F.when(F.col("order_id") % 7 == 0, F.concat(line, F.lit('"'))).when(F.col("order_id") % 11 == 0, F.concat(line, F.lit(",more"))).otherwise(line)
+    path = scratch_path(m.spark, "dirty")
+    raw = {"header": True, "sep": "\u0001", "quote": ""}  # lines as they are
+    m.orders.select(line.alias("order_id,order_date,customer_id")).write.options(**raw).csv(path)
+    good, rejects = files.read_quarantined(m.spark, path, "customer_id BIGINT, order_id BIGINT, order_date DATE")
+    told = rejects.groupBy("reason").agg(F.count("*").alias("n_rows"), F.max(F.length("line")).cast("bigint").alias("longest"))
+    kept = good.agg(F.lit("good").alias("reason"), F.count("*").alias("n_rows"), F.max("order_id").alias("longest"))
+    return told.unionByName(kept)
+
+
 @job("sink_row_counts")
 def _(m):
     folder = scratch_path(m.spark, "star")

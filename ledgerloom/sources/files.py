@@ -47,6 +47,59 @@ def _whole(name: str, kind: T.DataType, strict: bool) -> Column:
     return F.when(value.isNull() | (value == F.floor(value)), value.cast(kind)).otherwise(refused).alias(name)
 
 
+def read_quarantined(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
+    """(good rows, rejects) of a CSV file with header: no malformed row stops the load and none is lost.
+
+    Rejects have file, line (the raw text) and reason: "open quote", "number of columns", or the first
+    column whose text is not of its type. Columns are taken by name, as in ``read_csv``; good rows keep their
+    file position. A value cannot hold a line break.
+    """
+    wanted = T.StructType.fromDDL(schema)
+    options = {"header": True, "quote": '"', "escape": '"', "encoding": "UTF-8"}
+    header = spark.read.options(**options).csv(path).columns
+    found = [name.lstrip("\ufeff").strip() for name in header]
+    missing = [f.name for f in wanted if f.name not in found]
+    if missing:
+        raise ValueError(f"{path} lacks the columns {', '.join(missing)}")
+    lines = with_file_position(spark.read.text(path)).select("value", F.col("_metadata.file_path").alias("file"), POSITION)
+    kinds = ", ".join(f"`{name}` STRING" for name in found) + ", `_malformed` STRING"
+    parse = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_malformed"}
+    parsed = lines.select("*", F.from_csv("value", kinds, parse).alias("r"))
+    names = F.array(*[F.regexp_replace(F.trim(F.col(f"r.`{name}`")), "^\ufeff", "") for name in found])
+    parsed = parsed.filter((F.trim("value") != "") & ~F.coalesce(names == F.array(*map(F.lit, found)), F.lit(False)))
+    tests = [
+        F.when(F.length(F.regexp_replace("value", '[^"]', "")) % 2 == 1, "open quote"),
+        F.when(F.col("r._malformed").isNotNull(), "number of columns"),
+    ]
+    columns = []
+    for f in wanted:
+        text = F.col(f"r.`{f.name}`")
+        value = text.try_cast(f.dataType)
+        if isinstance(f.dataType, T.IntegralType):
+            number = text.try_cast(T.DecimalType(24, 4))
+            value = F.when(number == F.floor(number), number.try_cast(f.dataType))
+        columns.append(value.alias(f.name))
+        tests.append(F.when(text.isNotNull() & value.isNull(), f"{f.name}: not {f.dataType.simpleString()}"))
+    parsed = parsed.withColumn("reason", F.coalesce(*tests))
+    good = parsed.filter("reason IS NULL").select(*columns, POSITION)
+    return good, parsed.filter("reason IS NOT NULL").select("file", F.col("value").alias("line"), "reason")
+
+
+def load_quarantined(spark: SparkSession, path: str, schema: str, good_path: str, rejects_path: str, most: float = 0.01) -> DataFrame:
+    """Write good rows and rejects of a CSV file as Parquet; returns the good ones, in no order and without position.
+
+    More rejects than the share ``most`` of all rows fail the load, after the rejects were written and before any good row is.
+    """
+    good, rejects = read_quarantined(spark, path, schema)
+    rejects.write.mode("overwrite").parquet(rejects_path)
+    bad = spark.read.parquet(rejects_path).count()
+    total = bad + good.count()
+    if bad > most * total:
+        raise ValueError(f"{path}: {bad} of {total} rows are malformed, see {rejects_path}")
+    good.drop(POSITION).write.mode("overwrite").parquet(good_path)
+    return spark.read.schema(schema).parquet(good_path)
+
+
 def read_untyped(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     """A CSV file as text columns; cast later with ``cast_schema`` or ``cast_with_rejects``."""
     return read_csv(spark, path, ", ".join(f"`{c}` STRING" for c in columns))

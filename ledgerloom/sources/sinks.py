@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .files import exists
 
@@ -30,6 +33,30 @@ def write_tables(
     return paths
 
 
+def load_table(df: DataFrame, path: str, how: str = "replace", fmt: str = "parquet") -> str:
+    """Write ``df`` as the whole content of ``path`` ("replace") or beside what is there ("append")."""
+    modes = {"replace": "overwrite", "append": "append"}
+    df.write.mode(modes[how]).format(fmt).save(path)
+    return path
+
+
+def replace_partitions(df: DataFrame, path: str, column: str, values: Sequence[str]) -> None:
+    """Give the partitions ``values`` of a partitioned Parquet table the rows of ``df``, and touch no other file.
+
+    ``df`` holds rows of these partitions only. Partitions that have rows are exchanged by a dynamic overwrite,
+    the others of ``values`` are deleted. Running it again gives the same table.
+    """
+    df = df.filter(F.col(column).isin(list(values)))
+    writer = df.hint("rebalance", column).write.partitionBy(column).mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+    left = {r[0] for r in df.select(column).distinct().collect()}  # no more than there are values
+    spark = df.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for value in set(values) - left:
+        where = jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={value}")
+        where.getFileSystem(conf).delete(where, True)
+
+
 def write_report(df: DataFrame, folder: str, name: str, single_file: bool = False) -> str:
     """Write a report as CSV with header. ``single_file`` is for reports of a few hundred rows."""
     path = f"{folder}/{name}"
