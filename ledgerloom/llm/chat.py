@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.native import let
+from ledgerloom.llm.native import groups_of, let, running
 
 #: The template. ``<`` starts every control string and never occurs in an escaped text.
 OPEN, AFTER_ROLE, NEXT, CLOSE = "<turn:", ">\n", "<next/>", "</turn>\n"
@@ -74,22 +74,13 @@ def format_chats(turns: DataFrame, learn_from: str = "assistant") -> DataFrame:
             ),
         )
     )
-    empty = F.array().cast("array<struct<start:int,length:int>>")
-    mask = F.aggregate(
-        cells,
-        F.struct(F.lit(0).alias("at"), empty.alias("spans")),
-        lambda acc, c: F.struct(
-            (acc["at"] + c["before"] + c["own"] + c["after"]).alias("at"),
-            F.when(
-                c["learn"],
-                F.array_append(
-                    acc["spans"],
-                    F.struct((acc["at"] + c["before"]).alias("start"), c["own"].alias("length")),
-                ),
-            ).otherwise(acc["spans"]).alias("spans"),
-        ),
-        lambda acc: acc["spans"],
-    )
+    def spans(c: Column) -> Column:
+        gone = F.transform(c, lambda x: x["before"] + x["own"] + x["after"])
+        told = let(running(gone), lambda at: F.transform(c, lambda x, i: F.struct(
+            x["learn"].alias("learn"), F.struct((F.get(at, i) + x["before"]).alias("start"), x["own"].alias("length")).alias("span"))))
+        return F.transform(F.filter(told, lambda x: x["learn"]), lambda x: x["span"])
+
+    mask = let(cells, spans)
     return chats.select("conv_id", formatted.alias("formatted"), mask.alias("loss_mask"))
 
 
@@ -111,10 +102,23 @@ def read_turns(formatted: Column) -> Column:
 
 
 def read_learnt(formatted: Column, mask: Column) -> Column:
-    """All text under the loss mask, unescaped, in order."""
-    return F.array_join(
-        F.transform(mask, lambda s: unescape(F.substr(formatted, s["start"] + 1, s["length"]))), ""
-    )
+    """All text under the loss mask, unescaped, in order.
+
+    Counting code points starts at the front of a string, so the spans are read from pieces that hold
+    as many of them as there are pieces.
+    """
+
+    def read(own: Column) -> Column:
+        first = own[0]["start"]
+        last = F.element_at(own, -1)
+        piece = F.substr(formatted, first + 1, last["start"] + last["length"] - first)
+        return let(piece, lambda text: F.array_join(F.transform(own, lambda s: unescape(F.substr(text, s["start"] - first + 1, s["length"]))), ""))
+
+    def all_of(spans: Column) -> Column:
+        width = F.greatest(F.ceil(F.sqrt(F.size(spans))).cast("int"), F.lit(1))
+        return let(width, lambda w: F.array_join(F.transform(groups_of(spans, w), lambda k: let(F.slice(spans, k * w + 1, w), read)), ""))
+
+    return let(mask, all_of)
 
 
 def chat_digest(chats: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.native import apart
+from ledgerloom.llm.native import set_aside
 
 #: Words, in a text as it stands: runs of ASCII letters and digits and of all characters beyond ASCII.
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
@@ -155,19 +155,24 @@ def mark_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 13, sha
     A word is hit inside any occurrence of a window; ``spans`` are the runs of hit words as
     [start, end) in code points of the original text. A document is contaminated when it has hit
     words and they are at least 1/``share`` of its words.
+
+    Null, empty and wordless texts have no words and no hits; rows that repeat are judged each, whatever their
+    ids; other columns stay, whatever their names (older ones of the added names are replaced). An empty table
+    gives an empty one, an empty benchmark no hits.
     """
-    old = [c for c in docs.columns if c not in ADDED]
-    found = find_items(docs.select(*old), benchmark, size, **limits)
+    docs, columns = set_aside(docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ADDED]), "doc_id", "text")
+    found = find_items(docs, benchmark, size, **limits)
     fields = [f for f in found.schema.fields if f.name != "found"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
     schema += ", n_hit long, items array<string>, spans array<struct<start:int,end:int>>"
     bad = (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))
-    return found.mapInArrow(_spans, schema).withColumn("contaminated", bad)
+    marked = found.mapInArrow(_spans, schema)
+    return marked.select(*columns, "n_words", "n_hit", "items", "spans", bad.alias("contaminated"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **how: int) -> DataFrame:
     """``docs`` without the contaminated documents."""
-    docs, columns = apart(docs, ADDED)
+    docs, columns = set_aside(docs, "doc_id", "text")
     return mark_contaminated(docs, benchmark, **how).where(~F.col("contaminated")).select(*columns)
 
 

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.batches import utf8
 from ledgerloom.llm.bits import bit_filter, passes
 from ledgerloom.llm.graph import components
-from ledgerloom.llm.native import digest
+from ledgerloom.llm.native import digest, set_aside
 from ledgerloom.llm.shingles import mixed, set_id, shingle_sets
 from ledgerloom.llm.store import kept, small_batches
 
@@ -464,15 +464,17 @@ def _link(docs: DataFrame) -> DataFrame:
 def keep_first(docs: DataFrame) -> DataFrame:
     """One document of each group: the smallest id, null last; of rows that share it, one.
 
-    Documents without shingles all stay.
+    Documents without shingles (null, empty, blank) all stay, repeated rows of them too. Other columns stay,
+    whatever their names. An empty table gives an empty one.
     """
+    docs, columns = set_aside(docs, "doc_id", "text")
     linked_rows = link_documents(docs)
     id_and_text = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")
     chosen = linked_rows.where("n_shingles > 0").groupBy("label").agg(F.min(id_and_text).alias("x"))
-    stay = chosen.select(F.col("x.doc_id").alias("_id"), F.col("x.digest").alias("_text"), F.lit(False).alias("_all"))
+    stay = chosen.select(F.col("x.doc_id").alias("id"), F.col("x.digest").alias("of"), F.lit(False).alias("every"))
     bare = linked_rows.where("n_shingles = 0").select("doc_id", "digest", F.lit(True)).distinct()
-    rows = docs.select("*", digest(F.col("text")).alias("_own"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("_own").eqNullSafe(F.col("_text"))
+    rows = docs.select("*", digest(F.col("text")).alias("digest"))
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & F.col("digest").eqNullSafe(F.col("of"))
     rows = rows.join(stay.union(bare), same)
-    no = F.row_number().over(Window.partitionBy("doc_id", "_own").orderBy("doc_id"))
-    return rows.withColumn("_no", no).where((F.col("_no") == 1) | F.col("_all")).select(*docs.columns)
+    no = F.row_number().over(Window.partitionBy("doc_id", "digest").orderBy("doc_id"))
+    return rows.withColumn("no", no).where((F.col("no") == 1) | F.col("every")).select(*columns)

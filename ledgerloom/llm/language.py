@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.batches import PIECE, pieces, utf8
+from ledgerloom.llm.native import set_aside
 from ledgerloom.llm.store import kept
 
 #: Letters to lower case; digits, marks and blanks become one byte; bytes beyond ASCII stay.
@@ -257,18 +258,18 @@ def predict(docs: DataFrame, model: Model | Parts | None) -> DataFrame:
     """``docs`` with lang_pred and score, the posterior of the language under equal priors.
 
     Only ``text`` is read. Null text, a text without any letter, and an empty model give ``und``
-    with score 0. Equal code lengths go to the smaller name. Older lang_pred and score are replaced.
+    with score 0. Equal code lengths go to the smaller name. Older lang_pred and score are replaced,
+    other columns stay, whatever their names.
     """
-    docs = docs.drop("lang_pred", "score")
+    docs, columns = set_aside(docs.drop("lang_pred", "score"), "text")
     if model is None:
-        return docs.select("*", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+        return docs.select(*columns, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
     shared = model if isinstance(model, Parts) else docs.sparkSession.sparkContext.broadcast(vars(model))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     scored = docs.mapInArrow(_predict(shared), schema + ", lang_pred string, score double")
     known = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    return scored.withColumns(
-        {"lang_pred": F.when(known, F.col("lang_pred")).otherwise(UNKNOWN), "score": F.when(known, F.col("score")).otherwise(0.0)}
-    )
+    lang, score = F.when(known, F.col("lang_pred")).otherwise(UNKNOWN), F.when(known, F.col("score")).otherwise(0.0)
+    return scored.select(*columns, lang.alias("lang_pred"), score.alias("score"))
 
 
 def held_out(doc_id: Column) -> Column:

@@ -15,7 +15,7 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.native import digest, let, lower_ascii
+from ledgerloom.llm.native import digest, let, lower_ascii, running, set_aside
 
 
 @dataclass(frozen=True)
@@ -164,17 +164,15 @@ def rule_spans(text: Column, rule: Rule, rank: int) -> Column:
     held = F.regexp_extract_all(text, pattern, F.lit(rule.group)) if rule.group else whole
 
     def place(parts: Column) -> Column:
-        start = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("spans"))
+        lengths = F.transform(parts["whole"], lambda x, i: F.length(F.get(parts["between"], i)) + F.length(x))
 
-        def step(acc: Column, i: Column) -> Column:
-            at = acc["at"] + F.length(F.get(parts["between"], i))
-            end = at + F.length(F.get(parts["whole"], i))
-            span = F.struct(at.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(rule.kind).alias("kind"))
-            good = F.length(F.get(parts["held"], i)) >= rule.least
-            return F.struct(end.alias("at"), F.when(good, F.array_append(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"))
+        def span(at: Column, i: Column) -> Column:
+            start = at + F.length(F.get(parts["between"], i))
+            end = start + F.length(F.get(parts["whole"], i))
+            whole = F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(rule.kind).alias("kind"))
+            return F.when(F.length(F.get(parts["held"], i)) >= rule.least, whole)
 
-        last = F.size(parts["whole"]) - 1
-        return F.aggregate(F.sequence(F.lit(0), last), start, step, lambda acc: acc["spans"])
+        return F.array_compact(F.transform(running(lengths), span))
 
     parts = F.struct(between.alias("between"), whole.alias("whole"), held.alias("held"))
     return F.when(F.regexp_like(text, pattern), let(parts, place)).otherwise(F.array().cast(SPANS))
@@ -184,23 +182,23 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``docs`` with secrets: all spans of all rules, by start, then by the rules' order.
 
     ``docs`` has doc_id and text. Matches of one rule do not overlap; those of different rules may.
-    Null and empty texts have none. Repeated rows, null ids and extra columns stay as they are; an
-    older column secrets is replaced.
+    Null and empty texts have none. Repeated rows, null ids and extra columns, whatever their names, stay as they
+    are; an older column secrets is replaced. Time in one text grows little more than its spans. An empty
+    table gives an empty one.
     """
     none = F.array().cast(SPANS)
-    old = [c for c in docs.columns if c != "secrets"]
+    docs, columns = set_aside(docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != "secrets"]), "doc_id", "text")
     index = trigram_index(docs.select("doc_id", "text"), rules)
-    picked = candidates(index, rules).select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "kinds")
-    joined = docs.select(*[F.col(c) for c in old], digest(F.col("text")).alias("_own")).join(
-        picked.withColumnRenamed("kinds", "_kinds"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_digest")), "left"
-    )
+    picked = candidates(index, rules).select(F.col("doc_id").alias("id"), F.col("digest").alias("of"), "kinds")
+    rows = docs.select("*", digest(F.col("text")).alias("digest"))
+    joined = rows.join(picked, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("of")), "left")
     found = []
     for rank, rule in enumerate(rules):
         spans = rule_spans(F.col("text"), rule, rank)
         if trigram_query(rule.pattern):
-            spans = F.when(F.array_contains("_kinds", rule.kind), spans).otherwise(none)
+            spans = F.when(F.array_contains("kinds", rule.kind), spans).otherwise(none)
         found.append(F.coalesce(spans, none))
-    return joined.select(*[F.col(c) for c in old], F.sort_array(F.concat(*found)).alias("secrets"))
+    return joined.select(*columns, F.sort_array(F.concat(*found)).alias("secrets"))
 
 
 def spans_text(spans: Column) -> Column:

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.batches import pieces, utf8
 from ledgerloom.llm.bits import bit_filter, passes
-from ledgerloom.llm.native import digest
+from ledgerloom.llm.native import digest, set_aside
 from ledgerloom.llm.shingles import BYTE, mixed
 from ledgerloom.llm.store import kept
 
@@ -308,17 +308,18 @@ def cut_repeats(docs: DataFrame, size: int = 200) -> DataFrame:
     Removed is each byte in a string of ``size`` bytes that also starts anywhere else, in the same
     document too; strings lie within one text and are judged on the whole input. Null texts count as
     empty, and texts shorter than ``size`` lose nothing. Repeated ids and repeated rows are rows like
-    any other, so both lose what they share. Columns of the same names are replaced. An empty table
-    gives an empty one.
+    any other, so both lose what they share. Columns of the same names are replaced, all others stay, whatever
+    their names. An empty table gives an empty one.
     """
-    docs = docs.select(*[c for c in docs.columns if c not in ADDED])
+    docs, columns = set_aside(docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ADDED]), "text")
     runs = repeated_runs(docs, size)
     per_text = runs.groupBy("digest").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
     copied = docs.select(digest(F.col("text")).alias("digest")).groupBy("digest").agg(F.count("*").alias("c")).where("c > 1")
     told = per_text.join(copied.select("digest", F.lit(True).alias("copied")), "digest", "full")
-    told = kept(told.select(F.col("digest").alias("_digest"), F.coalesce("copied", F.lit(False)).alias("copied"), F.when(F.col("copied").isNull(), F.col("runs")).alias("runs")))
-    rows = docs.select("*", digest(F.col("text")).alias("_own")).join(told, F.col("_own") == F.col("_digest"), "left").drop("_own", "_digest")
+    told = kept(told.select(F.col("digest").alias("of"), F.coalesce("copied", F.lit(False)).alias("copied"), F.when(F.col("copied").isNull(), F.col("runs")).alias("runs")))
+    rows = docs.select("*", digest(F.col("text")).alias("digest")).join(told, F.col("digest") == F.col("of"), "left").drop("digest", "of")
     rows = rows.withColumn("copied", F.coalesce("copied", F.lit(False)))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     more = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,end:long>>"
-    return rows.mapInArrow(_cut(size), f"{schema}, {more}")
+    cut = rows.mapInArrow(_cut(size), f"{schema}, {more}")
+    return cut.select(*columns, "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans")
