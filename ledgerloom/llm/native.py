@@ -77,9 +77,3 @@ def running(numbers: Column, depth: int = 2) -> Column:
         return let(let(width, cut), added)
 
     return let(numbers, plain if depth == 0 else grouped)
-
-
-def apart(docs: DataFrame, names: tuple[str, ...]) -> tuple[DataFrame, list[Column]]:
-    """``docs`` with columns of these names renamed, and what selects all its columns as they were."""
-    new = {c: f"_own_{c}" for c in docs.columns if c in names}
-    return docs.withColumnsRenamed(new), [F.col(new.get(c, c)).alias(c) for c in docs.columns]

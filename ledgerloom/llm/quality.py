@@ -1,7 +1,7 @@
 """Quality rules with DataFrame functions only: counts of a text, and lines that too many documents share.
 
 Lines are normalised and hashed; per host, the distinct documents of each line are counted, near copies
-of one document as one. Lines in more documents than the limit are boilerplate and removed; a document of
+of one document as one. Text never leaves its task for that: only hashes are shuffled. Lines in more documents than the limit are boilerplate and removed; a document of
 which too little is left is rejected.
 """
 
@@ -10,13 +10,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.native import apart, let, words
+from ledgerloom.llm.native import digest, let, set_aside, without, words
 from ledgerloom.llm.store import kept
 
 #: Hot lines meet the lines of documents in so many parts.
 PARTS = 16
 #: Hashes that stand for a text when near copies are told from other documents.
 SKETCH = 8
+#: Up to so many lines (about 100 bytes each) go to all tasks; beyond, they are joined.
+SENT = 200_000
 
 
 def repeated_words(w: Column, size: int = 3) -> Column:
@@ -61,16 +63,10 @@ def normal_line(line: Column) -> Column:
 
 
 def line_rows(docs: DataFrame, key: list[str]) -> DataFrame:
-    """(key, pos, chars, line) of each line with a letter; line is a hash."""
-    placed = F.filter(
-        F.transform(
-            F.split("text", "\n", -1),
-            lambda x, i: let(normal_line(x), lambda n: F.struct(
-                i.alias("pos"), F.length(x).alias("chars"), F.xxhash64(n).alias("line"), (n != "").alias("full"))),
-        ),
-        lambda x: x["full"],
-    )
-    return docs.select(*key, F.explode(placed).alias("l")).select(*key, "l.pos", "l.chars", "l.line")
+    """(key, pos, chars, raw, line) of each line with a letter; line is a hash of the normalised line."""
+    rows = docs.select(*key, F.posexplode(F.split("text", "\n", -1)).alias("pos", "raw"))
+    rows = rows.withColumn("norm", normal_line(F.col("raw"))).where("norm != ''")
+    return rows.select(*key, "pos", F.length("raw").alias("chars"), "raw", F.xxhash64("norm").alias("line"))
 
 
 def in_parts(few: DataFrame) -> DataFrame:
@@ -78,48 +74,52 @@ def in_parts(few: DataFrame) -> DataFrame:
 
 
 def part_of(fp: str = "fp") -> Column:
-    return F.pmod(fp, F.lit(PARTS)).cast("int")
+    return F.pmod(F.xxhash64(fp), F.lit(PARTS)).cast("int")
 
 
-def common_lines(lines: DataFrame, most_docs: int) -> DataFrame:
-    """The rows of ``lines`` whose line more than ``most_docs`` distinct texts of its host hold."""
-    often = lines.groupBy("host", "line").agg(F.count_distinct("fp").alias("n")).where(F.col("n") > most_docs).drop("n")
-    return lines.withColumn("part", part_of()).join(in_parts(often), ["host", "line", "part"]).drop("part")
+def met(lines: DataFrame, few: DataFrame, how: str) -> DataFrame:
+    """``lines`` joined to a kept table of (host, line): sent to all tasks up to SENT rows, else in PARTS parts."""
+    if few.count() <= SENT:
+        return lines.join(F.broadcast(few), ["host", "line"], how)
+    return lines.withColumn("part", part_of()).join(in_parts(few), ["host", "line", "part"], how).drop("part")
 
 
-def sketch(text: Column, common: Column) -> Column:
-    """The SKETCH smallest hashes of three words in a row in the lines of ``text`` that are not ``common``.
+def sketches(lines: DataFrame, often: DataFrame, found: DataFrame) -> DataFrame:
+    """(host, fp, low) of the texts in ``found``, which has the rows of lines that many texts hold.
 
-    Where no word is left, the sketch is the hash of all lines in their order.
+    low has, for each remainder modulo SKETCH, the smallest CRC-32 with that remainder among three words in a row
+    (a shorter line counts whole) in the text's lines that are not in ``often``. Where no such line is
+    left, low is one hash of the lines and their places.
     """
-    lines = F.split(text, "\n", -1)
-    rest = F.filter(lines, lambda x: ~F.array_contains(common, F.xxhash64(normal_line(x))))
 
-    def lowest(w: Column) -> Column:
-        runs = F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - 3, F.lit(0))), lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(3)]))
-        order = F.array(F.xxhash64(F.transform(lines, normal_line)))
-        return F.when(F.size(w) == 0, order).otherwise(F.slice(F.array_sort(F.array_distinct(runs)), 1, SKETCH))
+    def runs(w: Column) -> Column:
+        last = F.greatest(F.size(w) - 3, F.lit(0))
+        return F.transform(F.sequence(F.lit(0), last), lambda i: F.crc32(F.encode(F.array_join(F.slice(w, i + 1, 3), " "), "UTF-8")))
 
-    return let(words(F.array_join(rest, "\n")), lowest)
+    own = met(lines, often, "left_anti").select("host", "fp", F.explode(let(words(F.col("raw")), runs)).alias("h"))
+    least = [F.min(F.when(F.col("h") % SKETCH == j, F.col("h"))).alias(f"s{j}") for j in range(SKETCH)]
+    slots = own.groupBy("host", "fp").agg(*least)
+    order = F.array(F.xxhash64(F.sort_array(F.collect_set(F.struct("pos", "line")))))
+    one = found.groupBy("host", "fp").agg(order.alias("order"))
+    low = F.array_compact(F.array(*[f"s{j}" for j in range(SKETCH)]))
+    return one.join(slots, ["host", "fp"], "left").select("host", "fp", F.when(F.size(low) > 0, low).otherwise(F.col("order")).alias("low"))
 
 
-def hot_lines(found: DataFrame, texts: DataFrame, most_docs: int) -> DataFrame:
+def hot_lines(found: DataFrame, low: DataFrame, most_docs: int) -> DataFrame:
     """(host, line) of the lines in ``found`` that more than ``most_docs`` distinct documents of a host hold.
 
-    ``found`` has the rows of common lines, ``texts`` (doc_id, fp, host, text) of all documents. Texts
-    that are near copies apart from common lines count as one document, so that copies do not make
+    Texts that are near copies apart from common lines count as one document, so that copies do not make
     their own lines boilerplate: their sketches agree but for one hash in SKETCH with that of the same text,
     the least by hash of those that share a hash with them.
     """
-    id = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id")
-    one = found.groupBy("host", "fp").agg(F.min(id).alias("id"), F.collect_set("line").alias("common"))
-    one = one.select(F.col("host").alias("_host"), F.col("fp").alias("_fp"), F.col("id.doc_id").alias("_id"), "common")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("fp") == F.col("_fp")) & (F.col("host") == F.col("_host"))
-    low = texts.join(one, same).select("host", "fp", sketch(F.col("text"), F.col("common")).alias("low"))
-    low = kept(low.select("host", "fp", part_of().alias("part"), "low", F.explode("low").alias("h")))
-    first = low.groupBy("host", "h").agg(F.min(F.struct("fp", "low")).alias("first"))
-    near = F.size(F.array_intersect("low", "first.low")) >= F.greatest(F.size("low"), F.size("first.low")) * (1 - 1 / SKETCH)
-    label = low.join(in_parts(first), ["host", "h", "part"]).where(near).groupBy("host", "fp").agg(F.min("first.fp").alias("label"))
+    low = kept(low)
+    each = low.select("host", "fp", part_of().alias("part"), F.explode("low").alias("h"))
+    shared = each.groupBy("host", "h").agg(F.min("fp").alias("first"), F.count("*").alias("c")).where("c > 1").drop("c")
+    leaders = low.select("host", F.col("fp").alias("first"), F.col("low").alias("first_low"))
+    shared = in_parts(shared.join(leaders, ["host", "first"]))
+    near = F.size(F.array_intersect("low", "first_low")) >= F.greatest(F.size("low"), F.size("first_low")) * (1 - 1 / SKETCH)
+    met_first = each.join(shared, ["host", "h", "part"]).where(F.col("fp") != F.col("first"))
+    label = met_first.join(low, ["host", "fp"]).where(near).groupBy("host", "fp").agg(F.min("first").alias("label"))
     held = found.select("host", "line", "fp").distinct().join(label, ["host", "fp"], "left")
     n = F.count_distinct(F.coalesce("label", "fp")).alias("n")
     return held.groupBy("host", "line").agg(n).where(F.col("n") > most_docs).drop("n")
@@ -134,41 +134,48 @@ def judge(docs: DataFrame, host: str = "source", most_docs: int = 30, least_left
     than the share ``least_left`` of the characters of its lines, are left. kept: neither.
 
     ``docs`` has doc_id, text and the host column. Null text is empty; null hosts are one host; null
-    and repeated ids and repeated rows get a verdict each; other columns stay. An empty table gives
-    an empty one.
+    and repeated ids and repeated rows get a verdict each; other columns stay, whatever their names (older
+    base, base_failed, hot and kept are replaced). Very long texts are split into lines in their own
+    task. An empty table gives an empty one.
     """
     docs = docs.drop("base", "base_failed", "hot", "kept")
-    fp = F.xxhash64(F.coalesce("text", F.lit("")))
-    at = F.coalesce(F.concat(F.lit("="), F.col(host)), F.lit(""))
-    texts = docs.select("doc_id", "text", fp.alias("fp"), at.alias("host"))
-    found = kept(common_lines(line_rows(texts, ["doc_id", "fp", "host"]), most_docs))
-    hot = in_parts(hot_lines(found, texts, most_docs))
-    found = found.withColumn("part", part_of()).join(hot, ["host", "line", "part"])
-    removed = found.groupBy(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"), F.col("host").alias("_host")).agg(
-        F.collect_set(F.struct("pos", "chars")).alias("_cut")
+    at = docs.columns.index(host)
+    docs, columns = set_aside(docs, "doc_id", "text")
+    text, at = F.coalesce("text", F.lit("")), F.col(docs.columns[at])
+    keys = [digest(text).alias("fp"), F.coalesce(F.concat(F.lit("="), at), F.lit("")).alias("host")]
+    lines = line_rows(docs.select("doc_id", "text", *keys), ["doc_id", "fp", "host"])
+    often = lines.groupBy("host", "line").agg(F.count_distinct("fp").alias("n")).where(F.col("n") > most_docs)
+    often = kept(often.select("host", "line"))
+    found = kept(met(lines, often, "inner").select("doc_id", "fp", "host", "pos", "chars", "line"))
+    hot = kept(hot_lines(found, sketches(lines, often, found), most_docs))
+    removed = met(found, hot, "inner").groupBy(F.col("doc_id").alias("id"), F.col("fp").alias("of"), F.col("host").alias("of_host")).agg(
+        F.collect_set(F.struct("pos", "chars")).alias("cut")
     )
-    own = docs.select("*", base_counts(F.col("text")).alias("base"), fp.alias("_own"), F.length(F.coalesce("text", F.lit(""))).alias("_chars"), at.alias("_at"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_fp")) & (F.col("_at") == F.col("_host"))
-    left = F.col("_chars") - F.aggregate("_cut", F.lit(0), lambda a, x: a + x["chars"])
-    depleted = F.coalesce((left < least_chars) | (left < least_left * F.col("_chars")), F.lit(False))
+    own = docs.select("*", *keys, base_counts(F.col("text")).alias("base"), F.length(text).alias("n"))
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("fp") == F.col("of")) & (F.col("host") == F.col("of_host"))
+    left = F.col("n") - F.aggregate("cut", F.lit(0), lambda a, x: a + x["chars"])
+    depleted = F.coalesce((left < least_chars) | (left < least_left * F.col("n")), F.lit(False))
     n, repeated = F.col("base.n_words"), F.col("base.n_repeat_words")
     failed = (n < least_words) | (100 * repeated > most_repeated * n)
     return own.join(removed, same, "left").select(
-        *[F.col(c) for c in docs.columns], "base", failed.alias("base_failed"),
-        F.coalesce(F.transform("_cut", lambda x: x["pos"]), F.array().cast("array<int>")).alias("hot"),
+        *columns, "base", failed.alias("base_failed"),
+        F.coalesce(F.transform("cut", lambda x: x["pos"]), F.array().cast("array<int>")).alias("hot"),
         (~failed & ~depleted).alias("kept"),
     )
 
 
-def clean(docs: DataFrame, **limits) -> DataFrame:
-    """The kept documents without their boilerplate lines; n_chars, if there is one, follows the text."""
-    docs, columns = apart(docs, ("base", "base_failed", "hot", "kept"))
-    judged = judge(docs, **limits).where("kept")
-    rest = F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains("hot", i))
-    text = F.when(F.size("hot") > 0, F.array_join(rest, "\n")).otherwise(F.col("text"))
-    judged = judged.withColumn("text", text)
+def clean(docs: DataFrame, host: str = "source", **limits) -> DataFrame:
+    """The kept documents without their boilerplate lines; n_chars, if there is one, follows the text.
+
+    All columns stay, whatever their names; nulls, repeated rows, long texts and empty tables as in ``judge``.
+    """
+    at = docs.columns.index(host)
+    docs, columns = set_aside(docs, "doc_id", "text", "n_chars")
+    judged = judge(docs, host=docs.columns[at], **limits).where("kept")
+    cut = F.size("hot") > 0
+    judged = judged.withColumn("text", F.when(cut, F.array_join(without(F.split("text", "\n", -1), F.col("hot")), "\n")).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        n = F.when(F.size("hot") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+        n = F.when(cut, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
         judged = judged.withColumn("n_chars", n)
     return judged.select(*columns)
 

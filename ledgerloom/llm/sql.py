@@ -6,24 +6,42 @@ from ledgerloom.llm.secrets import BASE, RULES
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-QUALITY = r"""
-WITH d AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS text, source FROM documents),
+_BYTES = "list_transform(range(1, octet_length(encode(w)) + 1), lambda i: CAST('0x' || substr(hex(encode(w)), 2 * i - 1, 2) AS BIGINT))"
+#: The table of CRC-32, from its polynomial, and the checksum of the text w.
+_REST = """rest AS (SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, i) ORDER BY i) AS x
+              FROM range(256) t(i))"""
+_CRC = f"xor(list_reduce({_BYTES}, lambda c, b: xor(c >> 8, rest.x[(xor(c, b) & 255) + 1]), CAST(4294967295 AS BIGINT)), 4294967295)"
+
+QUALITY = rf"""
+WITH {_REST},
+d AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS text, coalesce('=' || source, '') AS host,
+             md5(coalesce(text, '')) AS fp FROM documents),
 w AS (SELECT k, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM d),
 runs AS (SELECT k, i, w[i] || chr(10) || w[i + 1] || chr(10) || w[i + 2] AS run
          FROM (SELECT k, w, unnest(range(1, len(w) - 1)) AS i FROM w)),
 twice AS (SELECT k, i FROM runs QUALIFY count(*) OVER (PARTITION BY k, run) > 1),
 repeated AS (SELECT k, count(DISTINCT i + j) AS n FROM twice, range(0, 3) r(j) GROUP BY k),
-parts AS (SELECT k, doc_id, source, text AS whole, unnest(string_split(text, chr(10))) AS line,
+parts AS (SELECT k, host, fp, unnest(string_split(text, chr(10))) AS line,
                  generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM d),
 solid AS (SELECT k, count(*) - count(DISTINCT line) AS dup FROM parts
           WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY k),
-norms AS (SELECT *, trim(regexp_replace(lower(line), '[^\p{L}]+', ' ', 'g')) AS norm FROM parts),
-beside AS (SELECT *, lag(norm) OVER (PARTITION BY k ORDER BY pos) AS a, lead(norm) OVER (PARTITION BY k ORDER BY pos) AS b
-           FROM norms WHERE norm <> ''),
-hot AS (SELECT source, norm FROM (SELECT source, norm, a, b, min(whole) AS whole FROM beside GROUP BY ALL)
-        GROUP BY source, norm HAVING count(DISTINCT whole) > 30),
-cut AS (SELECT k, sum(length(line)) AS gone FROM beside JOIN hot
-        ON hot.norm = beside.norm AND hot.source IS NOT DISTINCT FROM beside.source GROUP BY k),
+norms AS (SELECT * FROM (SELECT *, trim(regexp_replace(lower(line), '[^\p{{L}}]+', ' ', 'g')) AS norm FROM parts) WHERE norm <> ''),
+own AS (SELECT DISTINCT host, fp, pos, line, norm FROM norms),
+often AS (SELECT host, norm FROM own GROUP BY ALL HAVING count(DISTINCT fp) > 30),
+held AS (SELECT * FROM own JOIN often USING (host, norm)),
+one AS (SELECT host, fp, 'lines ' || string_agg(pos || ' ' || norm, chr(10) ORDER BY pos) AS whole FROM held GROUP BY host, fp),
+rare AS (SELECT host, fp, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS w
+         FROM own ANTI JOIN often USING (host, norm) SEMI JOIN one USING (host, fp)),
+threes AS (SELECT host, fp, array_to_string(w[i : i + 2], ' ') AS w FROM (SELECT *, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM rare)),
+sums AS (SELECT w, {_CRC} AS h FROM (SELECT DISTINCT w FROM threes), rest),
+slots AS (SELECT host, fp, h % 8 AS slot, CAST(min(h) AS VARCHAR) AS h FROM threes JOIN sums USING (w) GROUP BY ALL),
+low AS (SELECT host, fp, coalesce(l, [whole]) AS low FROM one LEFT JOIN (SELECT host, fp, list(h) AS l FROM slots GROUP BY host, fp) USING (host, fp)),
+each AS (SELECT *, unnest(low) AS h FROM low),
+leaders AS (SELECT host, h, min(fp) AS leader, arg_min(low, fp) AS low2 FROM each GROUP BY host, h),
+labels AS (SELECT host, fp, min(leader) AS label FROM each JOIN leaders USING (host, h)
+           WHERE len(list_intersect(low, low2)) >= 0.875 * greatest(len(low), len(low2)) GROUP BY host, fp),
+hot AS (SELECT host, norm FROM held LEFT JOIN labels USING (host, fp) GROUP BY ALL HAVING count(DISTINCT coalesce(label, fp)) > 30),
+cut AS (SELECT k, sum(length(line)) AS gone FROM norms JOIN hot USING (host, norm) GROUP BY k),
 counts AS (SELECT doc_id, text, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
                   length(text) - length(regexp_replace(text, '[#*$%&|<>]+', '', 'g')) AS n_symbols,
                   coalesce(dup, 0) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words, gone
@@ -92,14 +110,12 @@ SELECT doc_id, {", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in BASE
        coalesce(spans, '') AS spans
 FROM d LEFT JOIN told USING (k)"""
 
-_BYTES = "list_transform(range(1, octet_length(encode(w)) + 1), lambda i: CAST('0x' || substr(hex(encode(w)), 2 * i - 1, 2) AS BIGINT))"
 RESAMPLE = f"""
-WITH rest AS (SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, i) ORDER BY i) AS x
-              FROM range(256) t(i)),
+WITH {_REST},
 d AS (SELECT row_number() OVER () AS k, doc_id, {_WORDS} AS w FROM documents),
 own AS (SELECT k, unnest(w) AS w FROM d),
 aim AS (SELECT unnest({_WORDS}) AS w FROM benchmark),
-known AS (SELECT w, xor(list_reduce({_BYTES}, lambda c, b: xor(c >> 8, rest.x[(xor(c, b) & 255) + 1]), CAST(4294967295 AS BIGINT)), 4294967295) % 10000 AS bucket
+known AS (SELECT w, {_CRC} % 10000 AS bucket
           FROM (SELECT w FROM own UNION SELECT w FROM aim), rest),
 s AS (SELECT bucket, count(*) AS n FROM own JOIN known USING (w) GROUP BY bucket),
 t AS (SELECT bucket, count(*) AS n FROM aim JOIN known USING (w) GROUP BY bucket),

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
 
 SF = "/root/testdata/sf0.001"
@@ -25,23 +26,47 @@ def base_counts(text):
 
 def quality(rows, most_docs=30):
     """rows of (doc_id, text, source) -> rows of doc_id, five counts, base_failed, kept."""
-    parsed, seen = [], defaultdict(dict)
+    texts = {}  # (source, fp) -> its lines with a letter: (position, normalised line, line)
     for _, text, source in rows:
-        found = []
-        for line in (text or "").split("\n"):
+        fp, found = hashlib.md5((text or "").encode()).hexdigest(), []
+        for pos, line in enumerate((text or "").split("\n")):
             norm = re.sub(r"[\W\d_]+", " ", line.lower()).strip()
             if norm:
-                found.append((norm, len(line)))
-        parsed.append(found)
-        for i, (norm, _) in enumerate(found):
-            before = found[i - 1][0] if i else None
-            after = found[i + 1][0] if i + 1 < len(found) else None
-            seen[source, norm].setdefault((before, after), text)
+                found.append((pos, norm, line))
+        texts[source, fp] = found
+    held = defaultdict(set)
+    for (source, fp), found in texts.items():
+        for _, norm, _ in found:
+            held[source, norm].add(fp)
+    often = {k for k, fps in held.items() if len(fps) > most_docs}
+
+    low, first = {}, {}
+    for (source, fp), found in texts.items():
+        common = [(pos, norm) for pos, norm, _ in found if (source, norm) in often]
+        slots = {}
+        for _, norm, line in found:
+            w = BLANK.findall(line)
+            for i in range(max(1, len(w) - 2) if (source, norm) not in often else 0):
+                h = zlib.crc32(" ".join(w[i : i + 3]).encode())
+                slots[h % 8] = min(h, slots.get(h % 8, h))
+        if common:
+            low[source, fp] = set(slots.values()) or {tuple(common)}
+    for source, fp in sorted(low, key=lambda k: k[1], reverse=True):
+        for h in low[source, fp]:
+            first[source, h] = fp
+    label = {}
+    for (source, fp), own in low.items():
+        near = (first[source, h] for h in own)
+        near = [f for f in near if len(own & low[source, f]) >= max(len(own), len(low[source, f])) * 7 / 8]
+        label[source, fp] = min(near, default=fp)
+    hot = {(s, norm) for s, norm in often if len({label[s, fp] for fp in held[s, norm]}) > most_docs}
+
     out = []
-    for (doc, text, source), found in zip(rows, parsed):
+    for doc, text, source in rows:
         n = base_counts(text)
         failed = n[0] < 50 or 100 * n[4] > 50 * n[0]
-        cut = [k for norm, k in found if len(set(seen[source, norm].values())) > most_docs]
+        fp = hashlib.md5((text or "").encode()).hexdigest()
+        cut = [len(line) for _, norm, line in texts[source, fp] if (source, norm) in hot]
         left, chars = len(text or "") - sum(cut), len(text or "")
         out.append((doc, *n, failed, not failed and not (cut and (left < 200 or left < 0.3 * chars))))
     return out
