@@ -320,6 +320,7 @@ QUERIES = {
     "rfm_base": "SELECT * REPLACE (CAST(monetary AS DOUBLE) AS monetary) FROM m_rfm_base",
     "rfm_summary": "SELECT * REPLACE (CAST(revenue AS DOUBLE) AS revenue) FROM m_rfm_summary",
     "cohort_retention": "SELECT * FROM m_retention",
+    "cohort_retention_by_month": "SELECT * FROM m_retention",
     "cohort_first_curve": "SELECT * FROM m_retention WHERE cohort_month = (SELECT MIN(cohort_month) FROM m_retention)",
     "segment_summary": """SELECT segment, COUNT(customer_id) AS customers,
         CAST(SUM(CAST(lifetime_value AS DECIMAL(24,2))) AS DOUBLE) / COUNT(*) AS avg_ltv

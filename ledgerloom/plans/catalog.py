@@ -15,7 +15,7 @@ from ..operators import clean, cohorts, forecast, insights, model, quality, rank
 from ..session import scratch_path, scratch_table
 from ..sources import files, jdbc, sinks
 from ..sources.testdata import CANCELLED, CATEGORIES, DELIVERED, REFERENCE_DATE, REGIONS, RETURNED, TestModel
-from . import batch, reload
+from . import batch, reload, retention
 
 Job = Callable[[TestModel], DataFrame]
 JOBS: dict[str, Job] = {}
@@ -671,6 +671,16 @@ def _(m):
     return cohorts.cohort_retention(m.order_facts, DELIVERED)
 
 
+@job("cohort_retention_by_month")
+def _(m):
+    """All months but the last are stored first, the last one is added to them."""
+    folder, orders = scratch_path(m.spark, "retention"), m.order_facts
+    last = clean.by_status(orders, DELIVERED).agg(F.trunc(F.max("order_date"), "month")).first()[0]
+    retention.build(orders.filter(F.col("order_date") < F.lit(last)), folder, DELIVERED)
+    retention.add_month(orders, folder, last, DELIVERED)
+    return retention.retention(m.spark, folder)
+
+
 @job("cohort_first_curve")
 def _(m):
     return cohorts.first_cohort(cohorts.cohort_retention(m.order_facts, DELIVERED))

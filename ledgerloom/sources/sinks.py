@@ -49,7 +49,7 @@ def replace_partitions(df: DataFrame, path: str, column: str, values: Sequence[s
     df = df.filter(F.col(column).isin(list(values)))
     writer = df.hint("rebalance", column).write.partitionBy(column).mode("overwrite")
     writer.option("partitionOverwriteMode", "dynamic").parquet(path)
-    left = {r[0] for r in df.select(column).distinct().collect()}  # no more than there are values
+    left = {str(r[0]) for r in df.select(column).distinct().collect()}  # no more than there are values
     spark = df.sparkSession
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for value in set(values) - left:
