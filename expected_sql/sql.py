@@ -469,4 +469,36 @@ QUERIES = {
         FROM (SELECT *, LAG(revenue) OVER (ORDER BY month_start) AS prev FROM m_monthly) WHERE {_MOM} <= -10""",
 }
 
+QUERIES["checks_while_writing"] = """
+    WITH p AS (SELECT * FROM m_payments), s AS (SELECT * FROM m_fct_sales)
+    SELECT 'fct_payments' AS table_name, 'rows' AS check_name, COUNT(*) AS n_rows FROM p
+    UNION ALL SELECT 'fct_payments', 'payment_id is null', COUNT(*) FILTER (payment_id IS NULL) FROM p
+    UNION ALL SELECT 'fct_payments', 'payment_method is null', COUNT(*) FILTER (payment_method IS NULL) FROM p
+    UNION ALL SELECT 'fct_payments', 'amount_at_least_1000', COUNT(*) FILTER (NOT amount >= 1000) FROM p
+    UNION ALL SELECT 'fct_sales', 'rows', COUNT(*) FROM s
+    UNION ALL SELECT 'fct_sales', 'order_id is null', COUNT(*) FILTER (order_id IS NULL) FROM s
+    UNION ALL SELECT 'fct_sales', 'region is null', COUNT(*) FILTER (region IS NULL) FROM s
+    UNION ALL SELECT 'fct_sales', 'quantity_at_most_40', COUNT(*) FILTER (NOT quantity <= 40) FROM s
+    UNION ALL SELECT 'fct_sales', 'cost_known', COUNT(*) FILTER (unit_cost IS NULL) FROM s"""
+QUERIES["month_cube"] = """
+    WITH l AS (
+        SELECT CAST(date_trunc('month', o.order_date) AS DATE) AS month_start, o.region, p.category,
+               p.product_id IS NOT NULL AS has_product, s.revenue, s.quantity
+        FROM m_sales s JOIN m_orders o ON o.order_id = s.order_id LEFT JOIN m_products p ON p.product_id = s.product_id)
+    SELECT CASE GROUPING(region) * 2 + GROUPING(category) WHEN 3 THEN 'month' WHEN 1 THEN 'region' WHEN 2 THEN 'category' ELSE 'cell' END AS grain,
+           month_start, region, category, has_product, CAST(SUM(revenue) AS DOUBLE) AS revenue, CAST(SUM(quantity) AS BIGINT) AS units
+    FROM l GROUP BY GROUPING SETS ((month_start), (month_start, region), (month_start, category, has_product),
+                                   (month_start, region, category, has_product))"""
+# The same results, from stored buckets and from the stored cube.
+QUERIES |= {
+    "bucketed_sales_orders": QUERIES["join_sales_orders"],
+    "bucketed_items_filtered": QUERIES["items_orders_filtered"],
+    "bucketed_fct_sales": QUERIES["fct_sales"],
+    "cube_growth_by_region": QUERIES["mom_growth_by_region"],
+    "cube_growth_by_category": QUERIES["mom_growth_by_category"],
+    "cube_month_category_matrix": QUERIES["month_category_matrix"],
+    "cube_seasonality": QUERIES["seasonality_profile"],
+    "cube_drillthrough": QUERIES["drop_month_drillthrough"],
+}
+
 ORACLES = {name: with_model(sql) for name, sql in QUERIES.items()}

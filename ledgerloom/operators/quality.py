@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -90,3 +90,40 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 def distinct_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*columns).distinct()
+
+
+class Watch:
+    """Rows and violations of one table, counted by the tasks that write it.
+
+    ``on`` has to be the last step before the write: the tasks of a write count once, however often they are
+    repeated, while tasks before a shuffle may run and count again when an executor is lost. A watch
+    serves one write; ``counts`` waits for it. A rule that is NULL is not violated, as in ``check_predicates``.
+    """
+
+    def __init__(self, name: str, not_null: Sequence[str] = (), rules: dict[str, Column] | None = None):
+        self.name = name
+        self._seen = Observation()
+        self._metrics = {"rows": F.count(F.lit(1))}
+        self._metrics |= {f"{c} is null": F.count_if(F.col(c).isNull()) for c in not_null}
+        self._metrics |= {rule: F.count_if(~holds) for rule, holds in (rules or {}).items()}
+
+    def on(self, df: DataFrame) -> DataFrame:
+        return df.observe(self._seen, *[metric.alias(check) for check, metric in self._metrics.items()])
+
+    def counts(self) -> dict[str, int]:
+        """{check: rows or violations}; zeros for a table without rows."""
+        seen = self._seen.get
+        return {check: seen.get(check) or 0 for check in self._metrics}
+
+
+def watched(spark: SparkSession, watches: dict[str, Watch]) -> DataFrame:
+    """(table_name, check_name, n_rows) of finished writes; one row for each check, so a small frame."""
+    found = [(w.name, check, n) for w in watches.values() for check, n in w.counts().items()]
+    return spark.createDataFrame(found, "table_name STRING, check_name STRING, n_rows BIGINT")
+
+
+def require_clean(watches: dict[str, Watch]) -> None:
+    """Fails on a written table without rows or with violations; names all of them."""
+    wrong = [f"{w.name}: {check} {n}" for w in watches.values() for check, n in w.counts().items() if (n == 0) == (check == "rows")]
+    if wrong:
+        raise ValueError("checks failed: " + ", ".join(wrong))

@@ -140,9 +140,13 @@ def drill_sales(sales: DataFrame, months: DataFrame, by: str = "region") -> Data
 
 def seasonality(sales: DataFrame, orders: DataFrame) -> DataFrame:
     """Mean monthly revenue per calendar month and its share of the twelve means."""
+    return seasonality_of(monthly_totals(sales, orders))
+
+
+def seasonality_of(monthly: DataFrame) -> DataFrame:
+    """``seasonality`` of a frame with month_start and revenue, a row per month."""
     means = (
-        monthly_totals(sales, orders)
-        .groupBy(F.month("month_start").alias("month_num"))
+        monthly.groupBy(F.month("month_start").alias("month_num"))
         .agg(ratio(F.sum("revenue"), F.count("*")).alias("_mean"))
     )
     shared = with_share(means, "_mean", "seasonal_share_pct", digits=2, few_rows=True)

@@ -11,18 +11,35 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import month_start
 from ..operators import clean, cohorts, forecast, insights, model, recommend, reports, rfm
-from ..operators.quality import require_rows
+from ..operators.quality import Watch, require_clean, require_rows, watched
 from ..sources import files, sinks
+from . import cube
 
 
-def process(raw: dict[str, DataFrame], folder: str, fmt: str = "parquet") -> dict[str, DataFrame]:
-    """Clean the raw tables and write the six processed ones; returns them as read back."""
+def table_watches() -> dict[str, Watch]:
+    """The checks of the processed tables: keys that must be there and ranges of measures."""
+    lines = {"quantity positive": F.col("quantity") > 0, "total_revenue not negative": F.col("total_revenue") >= 0}
+    return {
+        "dim_products": Watch("dim_products", ["product_id"], {"unit_cost not negative": F.col("unit_cost") >= 0}),
+        "fct_payments": Watch("fct_payments", ["payment_id", "order_id"], {"amount not negative": F.col("amount") >= 0}),
+        "fct_order_items": Watch("fct_order_items", ["order_id", "product_id"], lines),
+        "fct_orders": Watch("fct_orders", ["order_id", "order_date", "customer_id"], {"order_revenue not negative": F.col("order_revenue") >= 0}),
+        "dim_customers": Watch("dim_customers", ["customer_id"], {"order_frequency not negative": F.col("order_frequency") >= 0}),
+        "fct_sales": Watch("fct_sales", ["order_id", "order_date", "customer_id"], lines),
+    }
+
+
+def process(raw: dict[str, DataFrame], folder: str, fmt: str = "parquet", watches: dict[str, Watch] | None = None) -> dict[str, DataFrame]:
+    """Clean the raw tables and write the six processed ones; returns them as read back.
+
+    ``watches`` (as of ``table_watches``) count rows and violations of the tables as they are written.
+    """
     tidy = clean.clean_tables(raw)
     spark = tidy["orders"].sparkSession
     done: dict[str, DataFrame] = {}
 
     def store(name: str, df: DataFrame) -> DataFrame:
-        path = sinks.write_tables({name: df}, folder, fmt)[name]
+        path = sinks.write_tables({name: df}, folder, fmt, watches=watches)[name]
         reader = spark.read.schema(df.schema)
         done[name] = (reader.option("header", True) if fmt == "csv" else reader).format(fmt).load(path)
         return done[name]
@@ -72,6 +89,16 @@ def analyse(
     matrix = recommend.user_item(recommend.interactions(sales, orders, status))
     paths["recommendations"] = sinks.write_report(recommend.recommend(matrix, top_n), folder, "recommendations")
 
+    # One pass over the lines for all month reports by region and category.
+    cells = cube.write(cube.month_cube(cube.sales_rows(sales)), folder)
+    by_region, by_category = cube.by_month(cells, "region"), cube.by_month(cells, "category")
+    dropped = reports.drop_months_of(cube.by_month(cells))
+    small("region_growth", reports.growth_by(by_region, "region").orderBy("region", "month_start"))
+    small("category_growth", reports.growth_by(by_category, "category").orderBy("category", "month_start"))
+    small("seasonality", reports.seasonality_of(cube.by_month(cells)).orderBy("month_num"))
+    small("drop_months_by_region", reports.drill_through(by_region, dropped).orderBy("month_start", "region"))
+    small("drop_months_by_category", reports.drill_through(by_category, dropped).orderBy("month_start", "category"))
+
     months = monthly.withColumn("month_start", month_start("order_date"))
     predicted = forecast.with_forecast_index(forecast.forecast_revenue(months, periods)).drop("method")
     future = small("sales_forecast", predicted.orderBy("month"))
@@ -88,9 +115,17 @@ def analyse(
     return paths
 
 
-def run_batch(spark: SparkSession, raw_folder: str, out_folder: str, **options: object) -> dict[str, str]:
-    """Raw CSV files to processed tables and reports."""
+def run_batch(spark: SparkSession, raw_folder: str, out_folder: str, strict: bool = False, **options: object) -> dict[str, str]:
+    """Raw CSV files to processed tables and reports.
+
+    The report ``checks`` lists rows and violations of the processed tables, counted while they were written; with
+    ``strict`` a table without rows or with a violation ends the run there.
+    """
     raw = files.read_raw(spark, raw_folder)
     require_rows(raw["order_items"], "order_items")
-    tables = process(raw, f"{out_folder}/processed")
-    return analyse(tables, f"{out_folder}/reports", **options)
+    watches = table_watches()
+    tables = process(raw, f"{out_folder}/processed", watches=watches)
+    checks = sinks.write_report(watched(spark, watches), f"{out_folder}/reports", "checks", single_file=True)
+    if strict:
+        require_clean(watches)
+    return {"checks": checks} | analyse(tables, f"{out_folder}/reports", **options)

@@ -15,7 +15,7 @@ from ..operators import clean, cohorts, forecast, insights, model, quality, rank
 from ..session import scratch_path, scratch_table
 from ..sources import files, jdbc, sinks
 from ..sources.testdata import CANCELLED, CATEGORIES, DELIVERED, REFERENCE_DATE, REGIONS, RETURNED, TestModel
-from . import batch, reload, retention
+from . import batch, cube, reload, retention
 
 Job = Callable[[TestModel], DataFrame]
 JOBS: dict[str, Job] = {}
@@ -388,6 +388,18 @@ def _(m):
     return quality.require_count(joined.agg(F.count("*").alias("n_rows")), "n_rows", "sales joined with orders")
 
 
+@job("checks_while_writing")
+def _(m):
+    # counted by the tasks that write the tables: no pass of their own
+    dear = {"quantity_at_most_40": F.col("quantity") <= 40, "cost_known": F.col("unit_cost").isNotNull()}
+    watches = {
+        "fct_payments": quality.Watch("fct_payments", ["payment_id", "payment_method"], {"amount_at_least_1000": F.col("amount") >= 1000}),
+        "fct_sales": quality.Watch("fct_sales", ["order_id", "region"], dear),
+    }
+    sinks.write_tables({"fct_payments": m.payments, "fct_sales": m.fct_sales}, scratch_path(m.spark, "watched"), watches=watches)
+    return quality.watched(m.spark, watches)
+
+
 # -- joins ----------------------------------------------------------------------------------
 
 
@@ -396,6 +408,33 @@ def _(m):
     return model.join_sales_orders(m.sales, m.order_facts)
 
 
+def _bucketed(m: TestModel, lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Lines and orders stored in the same buckets by order."""
+    path = sinks.write_tables({"lines": lines}, scratch_path(m.spark, "lines"))["lines"]
+    stored = m.spark.read.schema(lines.schema).parquet(path)
+    n = sinks.bucket_count(stored.count(), rows_per_bucket=100_000)
+    return tuple(
+        sinks.write_bucketed(df, scratch_table(m.spark, name), "order_id", n) for name, df in (("lines", stored), ("orders", m.order_facts))
+    )
+
+
+@job("bucketed_sales_orders")
+def _(m):
+    return model.join_sales_orders(*_bucketed(m, m.sales))
+
+
+@job("bucketed_items_filtered")
+def _(m):
+    items, orders = _bucketed(m, m.priced_items)
+    return model.items_by_status(items, orders, DELIVERED).select("order_id", "line_no", "product_id", "quantity", "total_revenue")
+
+
+@job("bucketed_fct_sales")
+def _(m):
+    items, orders = _bucketed(m, m.fct_order_items)
+    return model.fct_sales(items, orders.join(m.customers.select("customer_id", "region"), "customer_id", "left"), m.customers)
+
+
 @job("join_sales_products")
 def _(m):
     return model.join_sales_products(m.sales, m.products)
@@ -738,6 +777,43 @@ def _(m):
     return reports.monthly_by_dimension(m.sales, m.orders, m.products)
 
 
+def _cube(m: TestModel) -> DataFrame:
+    rows = cube.starter_rows(m.sales, m.orders, m.products)
+    return cube.write(cube.month_cube(rows), scratch_path(m.spark, "cube"))
+
+
+@job("month_cube")
+def _(m):
+    return _cube(m)
+
+
+@job("cube_growth_by_region")
+def _(m):
+    return reports.growth_by(cube.by_month(_cube(m), "region").drop("units"), "region")
+
+
+@job("cube_growth_by_category")
+def _(m):
+    return reports.growth_by(cube.by_month(_cube(m), "category").drop("units"), "category")
+
+
+@job("cube_month_category_matrix")
+def _(m):
+    return reports.pivot_revenue(cube.by_month(_cube(m), "category"), ["month_start"], "category", CATEGORIES)
+
+
+@job("cube_seasonality")
+def _(m):
+    return reports.seasonality_of(cube.by_month(_cube(m)))
+
+
+@job("cube_drillthrough")
+def _(m):
+    cells = _cube(m)
+    months = reports.drop_months_of(cube.by_month(cells))
+    return reports.drill_through(cube.by_month(cells, "region").drop("units"), months)
+
+
 # -- windows --------------------------------------------------------------------------------
 
 

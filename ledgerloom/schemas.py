@@ -71,6 +71,13 @@ REPORTS = {
                       "monetary DOUBLE, r_score INT, f_score INT, m_score INT, rfm_code STRING, "
                       "rfm_segment STRING, priority STRING, crm_action STRING",
     "recommendations": "customer_id STRING, recommended_product_id STRING, score DOUBLE",
+    "checks": "table_name STRING, check_name STRING, n_rows BIGINT",
+    "region_growth": "month_start DATE, region STRING, revenue DOUBLE, units BIGINT, prev_revenue DOUBLE, region_mom_growth_pct DOUBLE",
+    "category_growth": "month_start DATE, category STRING, revenue DOUBLE, units BIGINT, prev_revenue DOUBLE, "
+                       "category_mom_growth_pct DOUBLE",
+    "seasonality": "month_num INT, avg_revenue DOUBLE, seasonal_share_pct DOUBLE",
+    "drop_months_by_region": "month_start DATE, region STRING, revenue DOUBLE, units BIGINT",
+    "drop_months_by_category": "month_start DATE, category STRING, revenue DOUBLE, units BIGINT",
     "sales_forecast": "month DATE, forecast_revenue DOUBLE, forecast_index DOUBLE",
 }
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.quality import Watch
 from .files import exists
 
 # Facts are laid out by month, which most reports filter or group on.
@@ -14,19 +15,28 @@ MONTH_PARTITIONED = {"fct_sales": "order_month"}
 
 
 def write_tables(
-    tables: dict[str, DataFrame], folder: str, fmt: str = "parquet", partitions: dict[str, str] | None = None
+    tables: dict[str, DataFrame],
+    folder: str,
+    fmt: str = "parquet",
+    partitions: dict[str, str] | None = None,
+    watches: dict[str, Watch] | None = None,
 ) -> dict[str, str]:
     """Write each table below ``folder``; returns their paths.
 
     A partitioned table is rebalanced on its partition column first: AQE then cuts large months
-    into several files and keeps small ones from being spread over many.
+    into several files and keeps small ones from being spread over many. A watch of the same name counts
+    rows and violations on the way.
     """
     partitions = (MONTH_PARTITIONED if fmt == "parquet" else {}) if partitions is None else partitions
     paths = {}
     for name, df in tables.items():
         paths[name] = f"{folder}/{name}"
         column = partitions.get(name)
-        writer = df.hint("rebalance", column).write.partitionBy(column) if column else df.write
+        if column:
+            df = df.hint("rebalance", column)
+        if watches and name in watches:
+            df = watches[name].on(df)
+        writer = df.write.partitionBy(column) if column else df.write
         if fmt == "csv":
             writer = writer.option("header", True)
         writer.mode("overwrite").format(fmt).save(paths[name])
@@ -57,6 +67,22 @@ def replace_partitions(df: DataFrame, path: str, column: str, values: Sequence[s
         where.getFileSystem(conf).delete(where, True)
 
 
+def bucket_count(rows: int, rows_per_bucket: int = 4_000_000) -> int:
+    """Buckets for the largest table of a join: a power of two, so that tables of other sizes can meet it."""
+    return 1 << max(0, -(-rows // rows_per_bucket) - 1).bit_length()
+
+
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> DataFrame:
+    """Write ``df`` as ``table`` in ``buckets`` sorted by ``key``; returns the table.
+
+    Tables with the same key and number of buckets (or a power of two apart) join on it without a shuffle. The rows
+    are dealt as the buckets are, so each bucket is one file, and read back as one task: take ``bucket_count``.
+    """
+    dealt = df.repartition(buckets, key)
+    dealt.write.bucketBy(buckets, key).sortBy(key).mode("overwrite").format("parquet").saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def write_report(df: DataFrame, folder: str, name: str, single_file: bool = False) -> str:
     """Write a report as CSV with header. ``single_file`` is for reports of a few hundred rows."""
     path = f"{folder}/{name}"

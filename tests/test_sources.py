@@ -128,6 +128,16 @@ def test_batch_run(spark, rows, raw_folder, tmp_path):
     assert summary.agg(F.sum("customers")).first()[0] == 3
     assert spark.read.option("header", True).csv(paths["insights"]).count() == 14
 
+    # reports from the cube and the counts of the writes
+    found = {(r[0], r[1]): r[2] for r in rows(files.read_report(spark, f"{out}/reports", "checks"))}
+    assert found["fct_sales", "rows"] == 118 and found["fct_orders", "customer_id is null"] == tables["fct_orders"].filter("customer_id IS NULL").count()
+    by_region = files.read_report(spark, f"{out}/reports", "region_growth")
+    assert by_region.count() > 0 and by_region.filter("prev_revenue IS NULL").isEmpty()
+    season = files.read_report(spark, f"{out}/reports", "seasonality")
+    assert season.count() == 12 and abs(season.agg(F.sum("seasonal_share_pct")).first()[0] - 100) < 0.1
+    for kind in ("region", "category"):
+        assert set(files.read_report(spark, f"{out}/reports", f"drop_months_by_{kind}").columns) == {"month_start", kind, "revenue", "units"}
+
     # the order of the written reports
     def written(name, *columns):
         return rows(files.read_report(spark, f"{out}/reports", name).select(*columns))
