@@ -94,7 +94,8 @@ def sketches(lines: DataFrame, often: DataFrame, found: DataFrame) -> DataFrame:
 
     def runs(w: Column) -> Column:
         last = F.greatest(F.size(w) - 3, F.lit(0))
-        return F.transform(F.sequence(F.lit(0), last), lambda i: F.crc32(F.encode(F.array_join(F.slice(w, i + 1, 3), " "), "UTF-8")))
+        three = lambda i: F.concat_ws(" ", *[F.get(w, i + k) for k in range(3)])
+        return F.transform(F.sequence(F.lit(0), last), lambda i: F.crc32(three(i).cast("binary")))
 
     own = met(lines, often, "left_anti").select("host", "fp", F.explode(let(words(F.col("raw")), runs)).alias("h"))
     least = [F.min(F.when(F.col("h") % SKETCH == j, F.col("h"))).alias(f"s{j}") for j in range(SKETCH)]
