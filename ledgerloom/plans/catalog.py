@@ -176,7 +176,7 @@ def _(m):
     folder = scratch_path(m.spark, "sales")
     path = sinks.write_tables({"fct_sales": model.fct_sales(some, early, m.customers)}, folder)["fct_sales"]
     orders = reload.with_late(early, late, ["order_id"])
-    reload.reload_sales(m.fct_order_items, orders, m.customers, reload.touched_months(late, early), path)
+    reload.reload_sales(m.items, orders, m.customers, reload.touched_months(late, early), path, m.products)
     return m.spark.read.schema(m.fct_sales.schema).parquet(path)
 
 

@@ -26,11 +26,15 @@ def with_late(known: DataFrame, late: DataFrame, keys: Sequence[str]) -> DataFra
     return known.join(late.select(*keys).distinct(), list(keys), "left_anti").unionByName(late)
 
 
-def reload_sales(items: DataFrame, orders: DataFrame, customers: DataFrame, months: Sequence[str], path: str) -> None:
+def reload_sales(
+    items: DataFrame, orders: DataFrame, customers: DataFrame, months: Sequence[str], path: str, products: DataFrame | None = None
+) -> None:
     """Rebuild ``months`` of the written sales table from enriched items, orders and customers.
 
-    Orders are cut to the months before they meet the lines, and only lines of these orders are joined.
+    Orders are cut to the months before they meet the lines, and only lines of these orders are joined. With
+    ``products``, ``items`` are the plain lines, and only those of these orders are enriched.
     """
     orders = orders.filter(month_label("order_date").isin(list(months)))
     own = items.join(orders.select("order_id"), "order_id", "left_semi")
+    own = own if products is None else model.items_enriched(own, products)
     sinks.replace_partitions(model.fct_sales(own, orders, customers), path, "order_month", months)

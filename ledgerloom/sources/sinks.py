@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.quality import Watch
 from .files import exists
 
+PARQUET_CODEC = "zstd"
 # Facts are laid out by month, which most reports filter or group on.
 MONTH_PARTITIONED = {"fct_sales": "order_month"}
 
@@ -39,6 +40,8 @@ def write_tables(
         writer = df.write.partitionBy(column) if column else df.write
         if fmt == "csv":
             writer = writer.option("header", True)
+        if fmt == "parquet":
+            writer = writer.option("compression", PARQUET_CODEC)
         writer.mode("overwrite").format(fmt).save(paths[name])
     return paths
 
@@ -57,9 +60,12 @@ def replace_partitions(df: DataFrame, path: str, column: str, values: Sequence[s
     the others of ``values`` are deleted. Running it again gives the same table.
     """
     df = df.filter(F.col(column).isin(list(values)))
-    writer = df.hint("rebalance", column).write.partitionBy(column).mode("overwrite")
-    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
-    left = {str(r[0]) for r in df.select(column).distinct().collect()}  # no more than there are values
+    seen = Observation()  # taken while writing: asking for the values afterwards would do the work of ``df`` twice
+    dealt = df.hint("rebalance", column).observe(seen, F.collect_set(F.col(column).cast("string")).alias("left"))
+    writer = dealt.write.partitionBy(column).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.option("compression", PARQUET_CODEC).parquet(path)
+    told = seen.get  # without the entry if Spark found beforehand that nothing is there to count
+    left = set(told["left"]) if told.get("left") is not None else {str(r[0]) for r in df.select(column).distinct().collect()}
     spark = df.sparkSession
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for value in set(values) - left:

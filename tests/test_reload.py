@@ -145,3 +145,33 @@ def test_rejects_are_listed_with_their_reason(spark, tmp_path):
     assert files.load_quarantined(spark, str(path), schema, out, bad, most=0.7).count() == 3
     with pytest.raises(ValueError, match="lacks the columns"):
         files.read_quarantined(spark, str(path), "other INT")
+
+
+def test_reload_enriches_the_lines_of_its_months(spark, shop, tmp_path, monkeypatch):
+    """With products, lines are cut to the months' orders before they meet products; values left are told by the write itself."""
+    plain = shop["items"].select("order_id", "line_no", "product_id", F.lit(2).alias("quantity"), F.lit(5).cast("decimal(12,2)").alias("unit_selling_price"))
+    products = spark.createDataFrame([("p", "pens", "b", "pen")], "product_id STRING, category STRING, brand STRING, product_name STRING")
+    products = products.withColumn("unit_cost", F.lit(3).cast("decimal(12,2)"))
+    want = model.fct_sales(model.items_enriched(plain, products), shop["orders"], shop["customers"])
+    path = sinks.write_tables({"fct_sales": want}, str(tmp_path))["fct_sales"]
+    enriched = []
+    monkeypatch.setattr(model, "items_enriched", lambda i, p, real=model.items_enriched: enriched.append(i) or real(i, p))
+    reload.reload_sales(plain, shop["orders"], shop["customers"], ["2022-03"], path, products)
+    assert [i.count() for i in enriched] == [2]
+    table = spark.read.schema(want.schema).parquet(path)
+    assert sorted(table.collect()) == sorted(want.select(*table.columns).collect()) and table.count() == 72
+
+
+def test_replacing_partitions_works_out_the_rows_once(spark, tmp_path):
+    path, seen = str(tmp_path / "t"), spark.sparkContext.accumulator(0)
+
+    def told(rows):
+        for r in rows:
+            seen.add(1)
+            yield r
+
+    df = spark.createDataFrame(spark.sparkContext.parallelize([(1, "a"), (2, "b")], 2).mapPartitions(told), "x INT, k STRING")
+    spark.createDataFrame([(9, "c"), (8, "d")], "x INT, k STRING").write.partitionBy("k").parquet(path)
+    sinks.replace_partitions(df, path, "k", ["a", "b", "c"])
+    assert seen.value == 2
+    assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [(1, "a"), (2, "b"), (8, "d")]
