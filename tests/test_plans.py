@@ -73,3 +73,28 @@ def test_first_per_key_is_reduced_before_the_shuffle(spark):
     for reduced in (clean.dedupe(df, ["k"]), ranking.top_n_per(df, ["k"], [F.desc("id")], 5)):
         text = plan(reduced)
         assert text.index("Final") < text.index("Exchange") < text.index("Partial")
+
+
+def test_lines_move_once_on_their_way_to_the_items_table(spark, monkeypatch, tmp_path):
+    """Copies of a line and its product meet in one shuffle, by product; before, lines moved by their key and again by product."""
+    from ledgerloom.plans import batch
+    from ledgerloom.sources import sinks
+    from ledgerloom.sources.testdata import TestModel
+
+    plans = {}
+
+    def spy(tables, folder, fmt="parquet", real=sinks.write_tables, **options):
+        plans.update({n: df._jdf.queryExecution().executedPlan().toString() for n, df in tables.items()})
+        return real(tables, folder, fmt, **options)
+
+    monkeypatch.setattr(sinks, "write_tables", spy)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        raw = TestModel(spark, "/root/testdata/sf0.001").raw
+        done = batch.process(raw | {"order_items": raw["order_items"].union(raw["order_items"])}, str(tmp_path))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "hashpartitioning(order_id" not in plans["fct_order_items"] and "hashpartitioning(product_id" in plans["fct_order_items"]
+    keys = raw["order_items"].select("order_id", "line_no", "product_id").distinct()
+    assert done["fct_order_items"].count() == keys.count()
