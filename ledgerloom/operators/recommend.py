@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, IntegerType, LongType
 
 from ..session import scratch_path
 from .clean import by_status
@@ -16,7 +17,9 @@ from .ranking import top_n_per
 SCALE = 10**12
 BLOCK = 1024  # products of one customer per block; one join key pairs two blocks
 PAIRS = 1_000_000  # pairs per task of the pair join, about a join key of the largest kind
+SUMS = 2_000_000  # scores per task where they are summed by customer
 MOST_TASKS = 100_000
+PAIRED = ("norm2", "norm2_b", "floor")  # what belongs to the two products of a pair
 PROBE = (4, 16)  # one in so many products, at least and at most, takes part in a first look at similarities
 
 
@@ -71,9 +74,13 @@ def _pair_count(matrix: DataFrame) -> int:
     return int(sizes.agg(F.sum(m * (m + 1) / 2)).first()[0] or 0)
 
 
+def _tasks(matrix: DataFrame, work: int, each: int) -> int:
+    return min(max(matrix.sparkSession.sparkContext.defaultParallelism, -(-work // each)), MOST_TASKS)
+
+
 def _pair_tasks(matrix: DataFrame, pairs: int) -> int:
     """Tasks for the pair join: as many as give each ``PAIRS`` pairs on average, and one for each core at least."""
-    return min(max(matrix.sparkSession.sparkContext.defaultParallelism, -(-pairs // PAIRS)), MOST_TASKS)
+    return _tasks(matrix, pairs, PAIRS)
 
 
 def _pairs(rows: DataFrame, tasks: int) -> DataFrame:
@@ -163,43 +170,121 @@ def similarity_floors(rows: DataFrame, neighbours: int, probed: int) -> DataFram
     return last.select("product_id", "floor")
 
 
+def narrowest(kind: DataType, least: int | None, most: int | None) -> str:
+    """The smallest whole-number type that holds all from ``least`` to ``most``; other types stay."""
+    if isinstance(kind, (LongType, IntegerType)) and least is not None:
+        for name, bits in (("tinyint", 7), ("smallint", 15), ("int", 31)):
+            if -(1 << bits) <= least and most < 1 << bits:
+                return name
+    return kind.simpleString()
+
+
+def _dealt(rows: DataFrame, tasks: int, split: bool, kinds: dict[str, str]) -> DataFrame:
+    """A row per purchase: the product, and all products of its customer as arrays of ``kinds``, itself included.
+
+    A customer's products are gathered block by block. With ``split``, some have several blocks, and each block meets
+    each as a join key of its own; other customers' products come from one array without a join.
+    """
+    block = F.pmod(F.xxhash64("product_id"), F.col("blocks")).cast("int")
+    part = F.pmod(F.xxhash64("customer_id"), F.col("parts")).cast("int")
+    own = F.struct("product_id", "qty", "norm2", "floor", "parts", part.alias("part"))
+    # few bytes make many pairs, so the work sets the number of tasks and AQE must not merge them
+    dealt = rows.withColumn("block", block).repartition(tasks, "customer_id", "block")
+    lists = dealt.groupBy("customer_id", "block").agg(F.max("blocks").alias("blocks"), F.collect_list(own).alias("x"))
+    met = lists.filter("blocks = 1").select("x", F.col("x").alias("y"))
+    if split:
+        large, blocks = lists.filter("blocks > 1"), F.sequence(F.lit(0), F.col("blocks") - 1)
+        low = large.select("customer_id", F.col("block").alias("lo"), F.explode(blocks).alias("hi"), "x")
+        high = large.select("customer_id", F.explode(blocks).alias("lo"), F.col("block").alias("hi"), F.col("x").alias("y"))
+        met = met.union(low.join(high, ["customer_id", "lo", "hi"]).select("x", "y"))
+    y = F.col("y")
+    arrays = [y[c].cast(f"array<{kind}>").alias(f"{c}_of") for c, kind in kinds.items()]
+    return met.select(F.explode("x").alias("own"), *arrays).select("own.*", *[f"{c}_of" for c in kinds])
+
+
+def _scored(purchases: DataFrame, *keys: str) -> DataFrame:
+    """Dot products of a product and its neighbours, summed by ``keys`` in the tasks that ``purchases`` was dealt to."""
+    each = F.inline(F.arrays_zip("product_id_of", "qty_of", "norm2_of")).alias("neighbour_id", "qty_b", "norm2_b")
+    pairs = purchases.select(*keys, "qty", "norm2", "floor", each)
+    for c, of in (("neighbour_id", "product_id"), ("qty_b", "qty"), ("norm2_b", "norm2")):
+        pairs = pairs.withColumn(c, F.col(c).cast(purchases.schema[of].dataType))
+    return pairs.filter("product_id <> neighbour_id").groupBy(*keys, "neighbour_id").agg(
+        F.sum(F.col("qty") * F.col("qty_b")).alias("dot"), *[F.max(c).alias(c) for c in PAIRED]
+    )
+
+
 def nearest_neighbours(matrix: DataFrame, neighbours: int = 19) -> DataFrame:
     """(product_id, neighbour_id, points): the most similar products of each, equal ones by id.
 
-    The same rows as ``nearest_items`` of ``item_similarity``. Where products have many neighbours, a pair is
-    ranked only for those of its two products whose floor it reaches; the floors travel with the products.
-    ``matrix`` is a written table.
+    The same rows as ``nearest_items`` of ``item_similarity``. Pairs are not shuffled: customers' products go to the task
+    of each product as arrays, and pairs are made, summed and ranked there. A product whose customers make more than
+    ``PAIRS`` pairs is dealt to several tasks, which sum before they send. Where products have many neighbours, a pair is
+    ranked only if it reaches the floor of its product. ``matrix`` is a written table.
     """
-    rows, none = _sized(matrix), F.lit(0).cast("bigint")
-    many = _pair_count(matrix)
-    probed = probe_of(many, matrix.select("product_id").distinct().count(), neighbours)
+    rows = _sized(matrix)
+    sizes = matrix.groupBy("customer_id").agg(F.count("*").alias("m"))
+    squares = F.sum(F.col("qty") * F.col("qty")).alias("norm2")
+    work = matrix.join(sizes, "customer_id").groupBy("product_id").agg(F.sum("m").alias("work"), F.max("qty").alias("qty"), squares)
+    products, directed, hottest, qty, norm2, least, most = work.agg(
+        F.count("*"), F.sum("work"), *[F.max(c) for c in ("work", "qty", "norm2")], F.min("product_id"), F.max("product_id")
+    ).first()
+    bounds = {"product_id": (least, most), "qty": (0, qty or 0), "norm2": (0, norm2 or 0)}
+    kinds = {c: narrowest(rows.schema[c].dataType, *b) for c, b in bounds.items()}
+    many = ((directed or 0) + matrix.count()) // 2
+    rows = rows.join(work.select("product_id", F.ceil(F.col("work") / PAIRS).cast("int").alias("parts")), "product_id")
+    probed = probe_of(many, products, neighbours)
+    none = F.lit(0).cast("bigint")
     if probed:
         rows = rows.join(similarity_floors(rows, neighbours, probed), "product_id", "left").withColumn("floor", F.coalesce("floor", none))
     else:
         rows = rows.withColumn("floor", none)
-    pairs = _pairs(rows, _pair_tasks(matrix, many)).withColumn("points", points(cosine()))
+    tasks = _pair_tasks(matrix, many)
+    purchases = _dealt(rows, tasks, not sizes.filter(F.col("m") > BLOCK).isEmpty(), kinds)
 
-    def way(own: str, other: str) -> Column:
-        there = F.struct(F.col(f"product_id_{own}").alias("product_id"), F.col(f"product_id_{other}").alias("neighbour_id"))
-        return F.when(F.col("points") >= F.col(f"floor_{own}"), there)
+    def best(pairs: DataFrame) -> DataFrame:
+        reached = pairs.withColumn("points", points(cosine("norm2", "norm2_b"))).filter("points >= floor")
+        reached = reached.select("product_id", "neighbour_id", "points")
+        return top_n_per(reached, ["product_id"], [F.desc("points"), F.asc("neighbour_id")], neighbours)
 
-    reached = pairs.filter(F.col("points") >= F.least("floor_a", "floor_b"))
-    ways = reached.select("points", F.explode(F.array_compact(F.array(way("a", "b"), way("b", "a")))).alias("way"))
-    ways = ways.select("way.product_id", "way.neighbour_id", "points")
-    return top_n_per(ways, ["product_id"], [F.desc("points"), F.asc("neighbour_id")], neighbours)
+    few = best(_scored(purchases.filter("parts = 1").repartition(tasks, "product_id"), "product_id"))
+    if (hottest or 0) <= PAIRS:
+        return few
+    some = _scored(purchases.filter("parts > 1").repartition(tasks, "product_id", "part"), "product_id", "part")
+    whole = some.groupBy("product_id", "neighbour_id").agg(F.sum("dot").alias("dot"), *[F.max(c).alias(c) for c in PAIRED])
+    return few.union(best(whole))
 
 
-def candidate_scores(matrix: DataFrame, nearest: DataFrame) -> DataFrame:
+def candidate_scores(matrix: DataFrame, nearest: DataFrame, neighbours: int = 19) -> DataFrame:
     """Summed similarity of every neighbour of a customer's products that the customer does not own.
 
-    The products owned take part as rows without points, so no further join takes them out.
+    A product's neighbours travel to its customers as arrays and are summed where a customer's arrays meet; sums of
+    customers with more than ``BLOCK`` products are spread over the tasks by product instead. The products owned take
+    part as rows without points, so no further join takes them out. A product without neighbours is nobody's neighbour.
     """
-    found = matrix.select("customer_id", "product_id").join(nearest.select("product_id", "neighbour_id", "points"), "product_id")
-    found = found.select("customer_id", F.col("neighbour_id").alias("product_id"), "points")
-    owned = matrix.select("customer_id", "product_id", F.lit(None).cast("bigint").alias("points"))
-    sums = found.union(owned).groupBy("customer_id", "product_id")
-    sums = sums.agg(F.sum("points").alias("points"), F.count("points").alias("times"), F.count("*").alias("rows"))
-    return sums.filter("times = rows").select("customer_id", "product_id", "points")
+    near = F.sort_array(F.collect_list(F.struct("neighbour_id", "points")))
+    lists = nearest.groupBy("product_id").agg(near.alias("near"))
+    kind = matrix.schema["product_id"].dataType
+    ids = narrowest(kind, *matrix.agg(F.min("product_id"), F.max("product_id")).first())
+    lists = lists.select("product_id", F.col("near")["neighbour_id"].cast(f"array<{ids}>").alias("ids"), F.col("near")["points"].alias("points"))
+    sizes = matrix.groupBy("customer_id").agg(F.count("*").alias("m"))
+    rows, most = sizes.agg(F.sum("m"), F.max("m")).first()
+    own = F.struct("product_id", F.lit(None).cast("bigint").alias("points"))
+
+    def summed(owned: DataFrame, tasks: int | None) -> DataFrame:
+        found = owned.join(lists, "product_id")
+        if tasks:
+            found = found.repartition(tasks, "customer_id")
+        near = F.transform(F.arrays_zip("ids", "points"), lambda x: F.struct(x["ids"].cast(kind).alias("product_id"), x["points"].alias("points")))
+        sums = found.select("customer_id", F.inline(F.concat(F.array(own), near))).groupBy("customer_id", "product_id")
+        sums = sums.agg(F.sum("points").alias("points"), F.count("points").alias("times"), F.count("*").alias("rows"))
+        return sums.filter("times = rows").select("customer_id", "product_id", "points")
+
+    owned, tasks = matrix.select("customer_id", "product_id"), _tasks(matrix, (rows or 0) * (neighbours + 1), SUMS)
+    if (most or 0) <= BLOCK:
+        return summed(owned, tasks)
+    large = sizes.filter(F.col("m") > BLOCK)
+    few = summed(owned.join(large, "customer_id", "left_anti"), tasks)
+    return few.union(summed(owned.join(large, "customer_id", "left_semi"), None))
 
 
 def exclude_purchased(candidates: DataFrame, matrix: DataFrame) -> DataFrame:
@@ -214,7 +299,7 @@ def recommend(matrix: DataFrame, top_n: int = 5, neighbours: int = 19) -> DataFr
     customers or products nothing is left to recommend and the result is empty, with the same columns.
     """
     matrix = _staged(matrix)
-    fresh = candidate_scores(matrix, nearest_neighbours(matrix, neighbours))
+    fresh = candidate_scores(matrix, nearest_neighbours(matrix, neighbours), neighbours)
     best = top_n_per(fresh, ["customer_id"], [F.desc("points"), F.asc("product_id")], top_n)
     return best.select(
         "customer_id",

@@ -1,6 +1,7 @@
 """Properties over generated data, checked against pandas, numpy or plain windows."""
 
 import random
+import re
 
 import numpy as np
 import pandas as pd
@@ -143,6 +144,29 @@ def test_floors_bound_the_nearest_neighbours(spark, monkeypatch):
     assert recommend.probe_of(1000, 100, 19) == 0 and recommend.probe_of(0, 0, 19) == 0
 
 
+@pytest.mark.parametrize("pairs", [1, 20, 10**6])
+def test_hot_products_are_dealt_to_several_tasks(spark, monkeypatch, pairs):
+    """Neighbours are the same whether a product's buyers meet in one task or in many, with large customers too."""
+    monkeypatch.setattr(recommend, "BLOCK", 3)
+    rng = random.Random(8)
+    cells = {(c, p): rng.randint(1, 9) for c in range(30) for p in rng.sample(range(40), rng.randint(1, 6))}
+    cells.update({(c, 99): rng.randint(1, 9) for c in range(30)})  # one product that everyone has
+    matrix = spark.createDataFrame([(c, p, q) for (c, p), q in cells.items()], "customer_id INT, product_id INT, qty BIGINT")
+    plain = recommend.nearest_items(recommend.item_similarity(matrix), 4)
+    plain = plain.select("product_id", "neighbour_id", recommend.points(F.col("similarity")).alias("points"), "rank")
+    monkeypatch.setattr(recommend, "PAIRS", pairs)
+    near = recommend.nearest_neighbours(matrix, 4).select(*plain.columns)
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, near.collect()))
+
+
+def test_recommendations_shuffle_purchases_and_not_pairs(spark):
+    """Whatever is dealt to tasks has one row per purchase at most: no exchange by two products, none of sums."""
+    matrix = spark.range(400).select((F.col("id") % 20).alias("customer_id"), (F.col("id") % 37).alias("product_id"), (F.col("id") % 5 + 1).alias("qty"))
+    text = recommend.recommend(matrix)._jdf.queryExecution().executedPlan().toString()
+    dealt = set(re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", text))
+    assert dealt and not [keys for keys in dealt if len(re.findall(r"product|neighbour", keys)) > 1 or ("customer" in keys and "product" in keys)], dealt
+
+
 def test_pair_tasks_follow_pairs_and_cores(spark):
     matrix = spark.createDataFrame([(1, 1, 1), (1, 2, 1)], "customer_id INT, product_id INT, qty BIGINT")
     assert recommend._pair_count(matrix) == 3
