@@ -340,3 +340,14 @@ def test_contamination_edge_rows(spark, rows):
     with pytest.raises(ValueError):
         decontaminate.mark_contaminated(df, bench, max_chars=5)
     assert set(decontaminate.decontaminate(df, bench).columns) == set(df.columns)
+
+
+def test_sketches_are_made_of_texts_that_need_one(spark):
+    """All texts with common lines pass the bitmaps, of 20,000 others few do."""
+    docs = spark.range(21_000).select(F.col("id").alias("doc_id"), F.md5(F.col("id").cast("string")).alias("fp"), F.lit("=h").alias("host"))
+    found = docs.where("doc_id % 21 = 0")
+    got = quality.among(docs, found.select("host", "fp"))
+    assert got.columns == docs.columns
+    assert got.where("doc_id % 21 = 0").count() == 1000
+    assert got.count() < 1000 + 20_000 / 8
+    assert quality.among(docs, found.where("false")).count() == 0
