@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.shingles import mixed
+from ledgerloom.llm.store import freeing
 
 #: A filter has 2 ** BITS bits (8 MB) however many values it was made from; they pass the driver once.
 BITS = 26
@@ -31,7 +32,8 @@ def _set_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def bit_filter(values: DataFrame):
     """A broadcast bitmap of a column of longs, of 2 ** BITS bits however many values there are."""
-    words = values.mapInArrow(_set_bits, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    with freeing(values.sparkSession):
+        words = values.mapInArrow(_set_bits, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
     bits = np.zeros(1 << (BITS - 6), np.uint64)
     bits[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
     return values.sparkSession.sparkContext.broadcast(bits.view(np.uint8))

@@ -1,12 +1,14 @@
 import random
+import time
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 import brute
 from brute import SF
-from ledgerloom.llm import graph, jaccard, queries
+from ledgerloom.llm import graph, jaccard, queries, store
 
 
 def linked(spark, docs):
@@ -92,3 +94,37 @@ def test_components_of_chains_and_stars(spark):
     df = spark.createDataFrame(links, "a long, b long")
     got = {r["node"]: r["label"] for r in graph.components(df).collect()}
     assert got == {i: 100 for i in range(100, 161)} | {5: 5} | {i: 5 for i in range(200, 260)} | {300: -4, -4: -4}
+
+
+def test_components_take_two_shuffles_a_round(spark):
+    pick = random.Random(8)
+    links = [(pick.randrange(400), pick.randrange(400)) for _ in range(350)] * 2 + [(None, 3), (5, 5)] + [(900, 900 + k) for k in range(1, 60)]
+    parent = {x: x for e in links if None not in e for x in e}
+
+    def root(x):
+        return x if parent[x] == x else root(parent[x])
+
+    for a, b in links:
+        if a is not None:
+            low, high = sorted((root(a), root(b)))
+            parent[high] = low
+    df = spark.createDataFrame(links, "a long, b long")
+    got = sorted(tuple(r) for r in graph.components(df).collect())
+    assert got == sorted((x, root(x)) for x in {x for a, b in links if a is not None and a != b for x in (a, b)})
+    plan = graph.round_of_stars(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_checkpoints_leave_no_shuffle_files(spark):
+    def files():
+        local = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {x for x in local.getAllBlocks().mkString("\n").split("\n") if x.startswith("shuffle_")}
+
+    before = files()
+    df = store.kept(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before
+    assert sorted(r["count"] for r in df.collect()) == [142] * 1 + [143] * 6
