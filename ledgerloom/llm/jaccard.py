@@ -10,9 +10,9 @@ Two sets of n and m shingles link when they share at least 3 (n + m) / 7 of them
   that linked sets must share some. Lists are read by families of sets that are known to be connected
   (see below). A list of more than ``LONG`` families is not paired; instead its sets list more
   shingles than they need, so that a linked pair shares a shingle with a short list all the same. Sets
-  for which that is not enough list all their shingles, and of those the ones with the shortest lists,
-  as many as linked sets must share one of, are joined even where those lists are long. So no link is
-  lost, whatever the lists' lengths.
+  for which that is not enough list all their shingles, and those that have one of their shortest lists
+  in common, of as many as linked sets must share one of, are a group: there sets are told by what they
+  differ in from a common core (``_long_links``). So no link is lost, whatever the lists' lengths.
 * The boundary is where the counted cost of subsets exceeds that of lists.
 
 Families come from a cheap first round: sets that share one of their four smallest hashes are
@@ -47,6 +47,8 @@ TINY = 12
 SHORT = 24
 #: Families that a list may hold and still be paired.
 LONG = 32
+#: Members that the core of a group of families in long lists is made of.
+SAMPLE = 16
 
 
 def needed(n: int, m: int) -> int:
@@ -330,8 +332,8 @@ def _lists(docs: DataFrame, families: DataFrame, least_n: int, whole, some) -> D
     return kept(held.mapInArrow(_pair_families, "a long, b long, times long, long long"))
 
 
-def _candidates(docs: DataFrame, sets: DataFrame, families: DataFrame, least_n: int) -> DataFrame:
-    """Pairs of families that may hold a link that is not known yet."""
+def _candidates(docs: DataFrame, sets: DataFrame, families: DataFrame, least_n: int) -> tuple[DataFrame, DataFrame | None]:
+    """Pairs of families that may hold a link that is not known yet, and links of families that meet in long lists only."""
     n = F.col("n")
     first = (n - F.floor((3 * n + 3) / 4) + 1).cast("long")
     own = sets.where(n >= max(1, least_n)).join(families, F.col("sid") == F.col("node"), "left")
@@ -363,33 +365,88 @@ def _candidates(docs: DataFrame, sets: DataFrame, families: DataFrame, least_n:
         found = kept(found.union(_lists(docs, families, least_n, named, tokens)))
     pairs = found.where("long = 0").groupBy("a", "b").agg(F.sum("times").alias("times"))
     hard = slack.where("slack < 0 AND missing > 0").select("family", "missing")
+    links = None
     if not hard.isEmpty():
         length = hits.groupBy("token").agg(F.count("*").alias("length"))
         theirs = hits.join(hard, "family").join(length, "token")
         rarest = F.row_number().over(Window.partitionBy("family").orderBy("length", "token"))
         theirs = kept(theirs.withColumn("rank", rarest).where(F.col("rank") <= F.col("missing")).select("token", "family"))
-        met = theirs.join(theirs.withColumnRenamed("family", "x"), "token").where(F.col("family") < F.col("x"))
-        met = met.select(F.col("family").alias("a"), F.col("x").alias("b")).distinct()
-        pairs = pairs.union(met.withColumn("times", F.lit(1 << 40))).groupBy("a", "b").agg(F.sum("times").alias("times"))
+        links = _long_links(docs, sets, own, theirs)
     side = slack.drop("is_whole", "missing")
     for end in ("a", "b"):
         pairs = pairs.join(side.select(F.col("family").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in ("least", "most", "slack")]), end)
     enough = F.col("times") >= 1 + F.greatest(F.lit(0), F.least("slack_a", "slack_b"))
     fits = (4 * F.col("most_a") >= 3 * F.col("least_b")) & (4 * F.col("most_b") >= 3 * F.col("least_a"))
-    return kept(pairs.where(enough & fits).select("a", "b"))
+    return kept(pairs.where(enough & fits).select("a", "b")), links
+
+
+def _long_links(docs: DataFrame, sets: DataFrame, own: DataFrame, theirs: DataFrame) -> DataFrame:
+    """Links (a, b) that connect the families of ``theirs`` (token, family) that have a token in common and hold a linked pair.
+
+    Families that tokens connect make a group. Its core has the shingles of most of ``SAMPLE`` members, taken by hash;
+    any core would do. Of each member only the difference from the core is kept, d shingles that one of the two lacks.
+    Sets of n and m shingles differ in d_x + d_y - 2 c, where c is what the differences have in common, and link when
+    that is at most (n + m) / 7. With e = 7 d - n this is 14 c >= e_x + e_y. Where e_x + e_y is 0 or less they link, and so
+    do both with the member of the least e: a star says it all. Others need common shingles in their
+    differences. These are read rarest first, and two members meet only where enough can still follow.
+    """
+    groups = components(theirs.select(F.col("family").alias("a"), F.xxhash64("token").alias("b")))
+    members = own.join(theirs.select("family").distinct(), "family", "left_semi").select("sid", "family", "n")
+    members = kept(members.join(groups.select(F.col("node").alias("family"), F.col("label").alias("key")), "family"))
+    full = docs.mapInArrow(_sets(_text_filter(sets, members)), "sid long, set array<long>").join(members.select("sid"), "sid", "left_semi")
+    full = kept(full.groupBy("sid").agg(F.first("set").alias("set")))
+
+    h = F.xxhash64("sid")
+    some = members.groupBy("key", F.pmod(h, F.lit(SAMPLE)).alias("slot")).agg(F.min(F.struct(h.alias("h"), "sid")).alias("x"))
+    some = some.select("key", F.col("x.sid").alias("sid"))
+    size = some.groupBy("key").agg(F.count("*").alias("size"))
+    core = some.join(full, "sid").select("key", F.explode("set").alias("s")).groupBy("key", "s").agg(F.count("*").alias("c"))
+    core = core.join(size, "key").where("2 * c > size").groupBy("key").agg(F.collect_list("s").alias("core"))
+    parts = members.groupBy("key").agg(F.ceil(F.count("*") / 64).cast("int").alias("parts"))
+    part = F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int")
+    core = parts.join(core, "key", "left").select("key", F.coalesce("core", F.array().cast("array<long>")).alias("core"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    told = members.join(full, "sid").join(parts, "key").withColumn("part", part).drop("parts").join(core, ["key", "part"])
+    told = told.withColumn("diff", F.concat(F.array_except("set", "core"), F.array_except("core", "set")))
+    told = kept(told.select("key", "sid", "family", (7 * F.size("diff") - F.col("n")).alias("e"), "diff"))
+
+    slim = told.select("key", "sid", "family", "e")
+    least = kept(slim.groupBy("key").agg(F.min(F.struct("e", "sid", "family")).alias("x")))
+    star = slim.join(least, "key").where((F.col("e") + F.col("x.e") <= 0) & (F.col("family") != F.col("x.family")))
+    star = kept(star.select(F.col("x.sid").alias("a"), F.col("sid").alias("b")))
+
+    listed = told.select("key", "sid", "family", "e", F.explode("diff").alias("s"))
+    often = listed.groupBy("key", "s").agg(F.count("*").alias("c"), F.min("family").alias("x"), F.max("family").alias("y")).where("x < y")
+    by_own = Window.partitionBy("key", "sid")
+    listed = listed.join(often.select("key", "s", "c"), ["key", "s"])
+    listed = listed.withColumns({"place": F.row_number().over(by_own.orderBy("c", "s")), "shared": F.count("*").over(by_own)})
+    # How many of the member's shingles that others have come from this one on.
+    listed = listed.withColumn("rest", F.col("shared") - F.col("place") + 1).join(least.select("key", F.col("x.e").alias("least")), "key")
+    listed = kept(listed.where("14 * rest >= e + least").select("key", "s", "sid", "family", "e", "rest"))
+    other = listed.select("key", "s", *[F.col(c).alias(f"{c}_y") for c in ("sid", "family", "e", "rest")])
+    sums = F.col("e") + F.col("e_y")
+    met = listed.join(other, ["key", "s"]).where((F.col("sid") < F.col("sid_y")) & (F.col("family") != F.col("family_y")) & (sums > 0) & (14 * F.least("rest", "rest_y") >= sums))
+    met = kept(met.select("key", F.col("sid").alias("a"), F.col("sid_y").alias("b"), sums.alias("least")).distinct())
+    for end in ("a", "b"):
+        met = met.join(told.select("key", F.col("sid").alias(end), F.col("diff").alias(f"diff_{end}")), ["key", end])
+    links = met.where(14 * F.size(F.array_intersect("diff_a", "diff_b")) >= F.col("least")).select("a", "b")
+    return kept(star.union(links))
 
 
 def _distance() -> Column:
     return 1 - F.col("share") / (F.col("n_a") + F.col("n_b") - F.col("share"))
 
 
-def _family_links(docs: DataFrame, sets: DataFrame, families: DataFrame, candidates: DataFrame) -> list[DataFrame]:
-    """Links that connect those candidate families that hold a linked pair."""
+def _family_links(docs: DataFrame, sets: DataFrame, families: DataFrame, candidates: DataFrame, known: DataFrame) -> list[DataFrame]:
+    """Links that connect those candidate families that hold a linked pair; ``known`` are all links so far."""
     if candidates.isEmpty():
         return []
     asked = kept(measure(docs, sets, candidates))
     out = [asked.where(linked()).select("a", "b")]
-    open_pairs = kept(asked.where(~linked()).select("a", "b"))
+    open_pairs = asked.where(~linked()).select("a", "b")
+    merged = kept(components(known.union(out[0])))  # families that are one by now need no more asking
+    for end in ("a", "b"):
+        open_pairs = open_pairs.join(merged.select(F.col("node").alias(end), F.col("label").alias(f"l{end}")), end, "left")
+    open_pairs = kept(open_pairs.where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b"))
     both = open_pairs.select(F.col("a").alias("own"), F.col("b").alias("other"))
     both = both.union(both.select("other", "own"))
     members = families.where("node != label").withColumnsRenamed({"node": "m", "label": "own"})
@@ -448,10 +505,13 @@ def _link(docs: DataFrame) -> DataFrame:
     links = [kept(links[0].union(links[1]))]
     families = components(links[0])
 
-    links += _family_links(docs, sets, families, _candidates(docs, sets, families, least_n))
+    candidates, long_links = _candidates(docs, sets, families, least_n)
+    if long_links is not None:
+        links[0] = links[0].union(long_links)
+    links += _family_links(docs, sets, families, candidates, links[0])
     for more in links[1:]:
         links[0] = links[0].union(more)
-    final = components(links[0]) if len(links) > 1 else families
+    final = components(links[0])
 
     known = info.groupBy("sid").agg(F.min("doc_id").alias("least")).join(final, F.col("sid") == F.col("node"), "left")
     known = kept(known.select("sid", F.coalesce("label", "sid").alias("label"), "least"))

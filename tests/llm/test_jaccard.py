@@ -128,3 +128,16 @@ def test_checkpoints_leave_no_shuffle_files(spark):
         time.sleep(0.1)
     assert not files() - before
     assert sorted(r["count"] for r in df.collect()) == [142] * 1 + [143] * 6
+
+
+def test_near_copies_in_long_lists_are_not_all_paired(spark, monkeypatch):
+    """Copies with a changed word each: most pairs are just below the limit, and no shingle of the text has a short list."""
+    pick = random.Random(4)
+    base = [f"w{i}" for i in range(60)]
+    docs = [(k, " ".join(base[:at] + [f"x{k}"] + base[at + 1 :])) for k, at in enumerate(pick.choices(range(60), k=160))]
+    docs += [(1000 + k, " ".join([*base[:30], *(f"y{k}-{j}" for j in range(6))])) for k in range(80)]
+    asked = []
+    measure = jaccard.measure
+    monkeypatch.setattr(jaccard, "measure", lambda d, s, pairs: asked.append(pairs.distinct().count()) or measure(d, s, pairs))
+    assert linked(spark, docs) == brute.components(docs)
+    assert sum(asked) < 10 * len(docs)
