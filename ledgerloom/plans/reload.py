@@ -9,16 +9,18 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import month_label
 from ..operators import model
+from ..session import freeing
 from ..sources import sinks
 
 
 def touched_months(late: DataFrame, known: DataFrame | None = None) -> list[str]:
     """Months of late orders, and those that their earlier versions in ``known`` were in."""
-    months = late.select(month_label("order_date").alias("month"))
-    if known is not None:
-        moved = known.join(late.select("order_id"), "order_id", "left_semi")
-        months = months.union(moved.select(month_label("order_date")))
-    return sorted(r[0] for r in months.filter("month IS NOT NULL").distinct().collect())  # calendar months
+    with freeing(late.sparkSession):
+        months = late.select(month_label("order_date").alias("month"))
+        if known is not None:
+            moved = known.join(late.select("order_id"), "order_id", "left_semi")
+            months = months.union(moved.select(month_label("order_date")))
+        return sorted(r[0] for r in months.filter("month IS NOT NULL").distinct().collect())  # calendar months
 
 
 def with_late(known: DataFrame, late: DataFrame, keys: Sequence[str]) -> DataFrame:

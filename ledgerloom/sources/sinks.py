@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager, nullcontext
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.quality import Watch
+from ..session import delete, freeing, scratch_path
 from .files import exists
 
 PARQUET_CODEC = "zstd"
@@ -15,6 +17,21 @@ PARQUET_CODEC = "zstd"
 MONTH_PARTITIONED = {"fct_sales": "order_month"}
 
 
+@contextmanager
+def staged(df: DataFrame) -> Iterator[DataFrame]:
+    """The rows of ``df`` as a Parquet table in the scratch folder, which goes at the end.
+
+    So the shuffle files that ``df`` takes are gone before those of the next shuffle are written, and what is shuffled inside goes with
+    its job. The table takes less disk than the rows in shuffle files.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "staged")
+    with freeing(spark):
+        df.write.option("compression", PARQUET_CODEC).parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    delete(spark, path)
+
+
 def write_tables(
     tables: dict[str, DataFrame],
     folder: str,
@@ -25,24 +42,25 @@ def write_tables(
     """Write each table below ``folder``; returns their paths.
 
     A partitioned table is rebalanced on its partition column first: AQE then cuts large months
-    into several files and keeps small ones from being spread over many. A watch of the same name counts
-    rows and violations on the way.
+    into several files and keeps small ones from being spread over many. It is ``staged`` before, so that its joins and
+    this shuffle don't fill the disks at once. A watch of the same name counts rows and violations on the way.
     """
     partitions = (MONTH_PARTITIONED if fmt == "parquet" else {}) if partitions is None else partitions
     paths = {}
     for name, df in tables.items():
         paths[name] = f"{folder}/{name}"
         column = partitions.get(name)
-        if column:
-            df = df.hint("rebalance", column)
-        if watches and name in watches:
-            df = watches[name].on(df)
-        writer = df.write.partitionBy(column) if column else df.write
-        if fmt == "csv":
-            writer = writer.option("header", True)
-        if fmt == "parquet":
-            writer = writer.option("compression", PARQUET_CODEC)
-        writer.mode("overwrite").format(fmt).save(paths[name])
+        with staged(df) if column else nullcontext(df) as rows:
+            if column:
+                rows = rows.hint("rebalance", column)
+            if watches and name in watches:
+                rows = watches[name].on(rows)
+            writer = rows.write.partitionBy(column) if column else rows.write
+            if fmt == "csv":
+                writer = writer.option("header", True)
+            if fmt == "parquet":
+                writer = writer.option("compression", PARQUET_CODEC)
+            writer.mode("overwrite").format(fmt).save(paths[name])
     return paths
 
 
@@ -57,20 +75,17 @@ def replace_partitions(df: DataFrame, path: str, column: str, values: Sequence[s
     """Give the partitions ``values`` of a partitioned Parquet table the rows of ``df``, and touch no other file.
 
     ``df`` holds rows of these partitions only. Partitions that have rows are exchanged by a dynamic overwrite,
-    the others of ``values`` are deleted. Running it again gives the same table.
+    the others of ``values`` are deleted. Running it again gives the same table. Rows are ``staged``.
     """
-    df = df.filter(F.col(column).isin(list(values)))
-    seen = Observation()  # taken while writing: asking for the values afterwards would do the work of ``df`` twice
-    dealt = df.hint("rebalance", column).observe(seen, F.collect_set(F.col(column).cast("string")).alias("left"))
-    writer = dealt.write.partitionBy(column).mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.option("compression", PARQUET_CODEC).parquet(path)
-    told = seen.get  # without the entry if Spark found beforehand that nothing is there to count
-    left = set(told["left"]) if told.get("left") is not None else {str(r[0]) for r in df.select(column).distinct().collect()}
-    spark = df.sparkSession
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    with staged(df.filter(F.col(column).isin(list(values)))) as rows:
+        seen = Observation()  # taken while writing: asking for the values afterwards would read the rows twice
+        dealt = rows.hint("rebalance", column).observe(seen, F.collect_set(F.col(column).cast("string")).alias("left"))
+        writer = dealt.write.partitionBy(column).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.option("compression", PARQUET_CODEC).parquet(path)
+        told = seen.get  # without the entry if Spark found beforehand that nothing is there to count
+        left = set(told["left"]) if told.get("left") is not None else {str(r[0]) for r in rows.select(column).distinct().collect()}
     for value in set(values) - left:
-        where = jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={value}")
-        where.getFileSystem(conf).delete(where, True)
+        delete(df.sparkSession, f"{path}/{column}={value}")
 
 
 def bucket_count(rows: int, rows_per_bucket: int = 4_000_000) -> int:

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+from contextlib import contextmanager
 from pathlib import Path
 
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import clean, model, reports
 from ledgerloom.plans import reload
+from ledgerloom.session import shared_dir
 from ledgerloom.sources import files, sinks
 
 ORDERS = "order_id STRING, order_date DATE, customer_id STRING, region STRING, order_status STRING"
@@ -175,3 +177,39 @@ def test_replacing_partitions_works_out_the_rows_once(spark, tmp_path):
     sinks.replace_partitions(df, path, "k", ["a", "b", "c"])
     assert seen.value == 2
     assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [(1, "a"), (2, "b"), (8, "d")]
+
+
+def test_shuffle_files_go_with_their_write(spark, shop, tmp_path):
+    """The joins of the sales table, the deal by month and the months of late orders leave no shuffle files and no staged rows."""
+
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return {f for f in files.split("\n") if "/shuffle_" in f}
+
+    orders = shop["orders"].repartition(3, "order_id")
+    before, scratch = shuffled(), set(Path(shared_dir(spark).removeprefix("file:")).glob("staged-*"))
+    seen = []
+    staged = sinks.staged
+
+    @contextmanager
+    def told(df):
+        with staged(df) as rows:
+            seen.append(len(shuffled() - before))
+            yield rows
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(sinks, "staged", told)
+        path = sinks.write_tables({"fct_sales": model.fct_sales(shop["items"], orders, shop["customers"])}, str(tmp_path))["fct_sales"]
+        months = reload.touched_months(orders.filter("order_id < 'o2'"), orders)
+        reload.reload_sales(shop["items"], orders, shop["customers"], months, path)
+    assert seen == [0, 0] and not shuffled() - before
+    assert set(Path(shared_dir(spark).removeprefix("file:")).glob("staged-*")) == scratch
+    assert spark.read.parquet(path).count() == 72
+
+
+def test_writing_by_partition_leaves_no_shuffle_files(spark, tmp_path):
+    files = lambda: spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").count("/shuffle_")
+    df = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.count("*").alias("n")).repartition(5, "n")
+    before = files()
+    sinks.write_tables({"t": df}, str(tmp_path), partitions={"t": "k"})
+    assert files() <= before and spark.read.parquet(str(tmp_path / "t")).count() == 7
